@@ -53,7 +53,7 @@ def counts(events_df: DataFrame) -> DataFrame:
     """Readings without the stations' descriptions; works on streams."""
     return events_df.select(
         "ts",
-        F.floor(F.col("user_id") / USERS_PER_STATION).alias("station_id"),
+        F.expr(f"user_id div {USERS_PER_STATION}").alias("station_id"),
         F.floor("value").alias("bikes"),
         (F.col("event_type") == "error").alias("maintenance"),
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from snapflow.functions.times import time_block
 
-DAY_S = 86400
+HOUR_S = 3600
 
 
 def asof_join(
@@ -14,7 +14,7 @@ def asof_join(
     key: str,
     ts: str = "ts",
     exclude: tuple[str, ...] = (),
-    block_s: int = DAY_S,
+    block_s: int = HOUR_S,
 ) -> DataFrame:
     """All rows of `left` with the columns of the newest row of `right` that has the
     same key and is not later (batch). Columns are null where there is none.

@@ -1,9 +1,9 @@
 """Labels: the value that a key has some hours later."""
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
-from snapflow.functions.times import time_block
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import functions as F
 
 HOURS_AHEAD = 4
 TOLERANCE_S = 10
@@ -19,30 +19,66 @@ def label_ahead(
     tol_s: int = TOLERANCE_S,
     block_s: int = DAY_S,
     name: str = "label",
+    one_per_moment: bool = True,
 ) -> DataFrame:
     """`df` with the mean of `value` of the same key `hours` later (batch).
 
     Rows within `tol_s` seconds of that moment count; where there are none the
     label is null. The window runs over one key and one block of time, and rows
     that a former block looks ahead to are handed to it as well. So no task sorts
-    a key's whole history, and with one row per key and moment a window's size is
-    bounded by `block_s`.
+    a key's whole history: a window holds at most the moments of one block.
+
+    Where a key may have many rows in the same second, say `one_per_moment=False`:
+    they are then added up first, and the label is joined back to the rows.
     """
     low, high = hours * 3600 - tol_s, hours * 3600 + tol_s
     if low <= 0:
         raise ValueError("the tolerance must be shorter than the time ahead")
-    at = F.unix_timestamp(ts)
+    if one_per_moment:
+        return _look_ahead(
+            df, key, F.unix_timestamp(ts), low, high, block_s, name, lambda w: F.avg(value).over(w)
+        )
+    timed = df.withColumn("_second", F.unix_timestamp(ts))
+    sums = timed.groupBy(key, "_second").agg(
+        F.sum(value).alias("_sum"), F.count(value).alias("_count")
+    )
+    labels = _look_ahead(
+        sums,
+        key,
+        F.col("_second"),
+        low,
+        high,
+        block_s,
+        name,
+        lambda w: F.try_divide(F.sum("_sum").over(w), F.sum("_count").over(w)),
+    )
+    return timed.join(labels.drop("_sum", "_count"), [key, "_second"], "left").select(
+        *df.columns, name
+    )
+
+
+def _look_ahead(
+    df: DataFrame,
+    key: str,
+    at: Column,
+    low: int,
+    high: int,
+    block_s: int,
+    name: str,
+    mean: Callable[[WindowSpec], Column],
+) -> DataFrame:
     block = F.lit(block_s)
+    own = F.floor(at / block)
     seen_from = F.sequence(F.floor((at - high) / block), F.floor((at - low) / block))
     spread = df.select(
         "*",
         at.alias("_at"),
-        time_block(ts, block_s).alias("_own"),
-        F.explode(F.array_union(F.array(time_block(ts, block_s)), seen_from)).alias("_block"),
+        own.alias("_own"),
+        F.explode(F.array_union(F.array(own), seen_from)).alias("_block"),
     )
     ahead = Window.partitionBy(key, "_block").orderBy("_at").rangeBetween(low, high)
     return (
-        spread.withColumn(name, F.avg(value).over(ahead))
+        spread.withColumn(name, mean(ahead))
         .filter(F.col("_block") == F.col("_own"))
         .drop("_at", "_own", "_block")
     )

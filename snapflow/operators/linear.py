@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapflow.operators.metrics import r2_of
 
@@ -78,7 +79,7 @@ def _packed(keys: list[str], width: int, prefix: str = "") -> list[Column]:
     return [*[F.col(k) for k in keys], *singles, *arrays]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def solve(
     n: pd.Series, sx: pd.Series, sy: pd.Series, sxx: pd.Series, sxy: pd.Series, ridge: pd.Series
 ) -> pd.Series:
@@ -191,7 +192,7 @@ def fit_and_evaluate(
     quality = (
         tested.join(trained, key)
         .withColumn("mse", squared_error(width, "train_coefficients") / F.col("n"))
-        .withColumn("_spread", _spread())
+        .withColumn("_spread", y_spread())
         .select(
             key,
             r2_of("mse", "_spread").alias("r2"),
@@ -204,10 +205,12 @@ def fit_and_evaluate(
     )
 
 
-def _spread() -> Column:
-    """Population variance of y behind a row's moments."""
+def y_spread() -> Column:
+    """Population variance of y behind a row's moments; 0 within rounding."""
     mean = F.col("sy") / F.col("n")
-    return F.greatest(F.col("syy") / F.col("n") - mean * mean, F.lit(0.0))
+    square = F.col("syy") / F.col("n")
+    spread = square - mean * mean
+    return F.when(spread > square * 1e-12, spread).otherwise(0.0)
 
 
 def moments_before(chunks: DataFrame, key: str, width: int) -> DataFrame:

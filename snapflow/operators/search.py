@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.operators.linear import (
-    _spread,
     moments,
     moments_before,
     squared_error,
     with_solution,
+    y_spread,
 )
 from snapflow.operators.metrics import r2_of
 
@@ -41,7 +41,7 @@ def ridge_fold_scores(
     return (
         chunks.join(fitted, [key, "chunk"])
         .withColumn("mse", squared_error(width) / F.col("n"))
-        .withColumn("_spread", _spread())
+        .withColumn("_spread", y_spread())
         .select(
             key,
             "penalty",

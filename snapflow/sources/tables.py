@@ -22,6 +22,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/snapflow-{purpose}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, purpose: str = "step") -> DataFrame:
+    """Write `df` to the shared folder and read it back.
+
+    It cuts the lineage in a way that outlives executors, and gives Spark the
+    measured size by which it decides whether a join may broadcast the result.
+    """
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def ensure_schema(spark: SparkSession, name: str, use: bool = False) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
     if use:
@@ -81,19 +92,18 @@ def create_feature_table(
     keys: list[str],
     partition_col: str = "date",
     ts: str = "ts",
+    path: str | None = None,
 ) -> None:
     """Create a keyed time-series table, partitioned by the date of `ts`.
 
-    Rows that share a key are refused.
+    Rows that share a key are refused. With `path` the files lie there.
     """
     require_unique(df, keys)
     dated = with_partition_date(df, partition_col, ts)
-    (
-        dated.hint("rebalance", partition_col)
-        .write.mode("error")
-        .partitionBy(partition_col)
-        .saveAsTable(table)
-    )
+    writer = dated.hint("rebalance", partition_col).write.mode("error")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.partitionBy(partition_col).saveAsTable(table)
 
 
 def with_partition_date(df: DataFrame, partition_col: str, ts: str) -> DataFrame:
