@@ -2,19 +2,21 @@
 
 Places become points on the unit sphere, cut into cubes that halve in size level
 by level. A station looks for its neighbours at the finest level where its own cube
-holds more than `k` stations: the k-th neighbour can then be no farther than the
-cube's diagonal, so the cubes of twice that size around it hold all it needs. Dense
-quarters are searched in small cubes and empty country in large ones, and a cube is
-searched from few stations outside it, however many it holds.
+holds more than `k` stations. The k-th neighbour can then be no farther than that
+cube's farthest corner, so the cubes of the same size within that reach hold all it
+needs. Dense quarters are searched in small cubes and empty country in large ones.
+A cube whose halves are crowded is home to the few stations of its empty halves only,
+so however many stations a cube holds, few are compared with all of them.
 
 Stations that share coordinates are one point of which only the lowest ids can be
 listed by others; the rest of them are answered from that point's own list.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapflow.functions.geo import distance_m, unit_vector
+from snapflow.sources.tables import settle
 
 FINEST_LEVEL = 30  # cubes of about a centimetre
 
@@ -84,101 +86,90 @@ def _lowest_ids_per_place(points: DataFrame, n: int) -> DataFrame:
 
 
 def _search(listed: DataFrame, k: int) -> DataFrame:
-    x, y, z = unit_vector(F.col("lng"), F.col("lat"))
-    finest = 1 << FINEST_LEVEL
-
-    def cube(axis: str) -> Column:
-        at = F.floor((F.col(axis) + 1) / 2 * finest)
-        return F.least(at, F.lit(finest - 1))
-
-    spots = listed.select(
-        "station_id", "lat", "lng", x.alias("x"), y.alias("y"), z.alias("z")
-    ).select("*", cube("x").alias("qx"), cube("y").alias("qy"), cube("z").alias("qz"))
-
-    levels = F.explode(F.sequence(F.lit(0), F.lit(FINEST_LEVEL)))
-    ladder = spots.select("*", levels.alias("level")).select("*", *_cube_at("level"))
-
-    full = ladder.groupBy(*CUBE).agg(F.count(F.lit(1)).alias("held")).filter(
-        F.col("held") > k
-    )
-    home = (
-        ladder.select("station_id", *CUBE)
-        .join(full.select(*CUBE), CUBE)
-        .groupBy("station_id")
-        .agg(F.max("level").alias("home"))
-    )
-
-    # The k-th neighbour's distance is at most the diagonal of the home cube, whose
-    # side is 2 / 2^home. The margin keeps rounding from hiding a cube or a station.
-    side = F.lit(2.0) / F.pow(F.lit(2.0), F.col("home"))
-    asking = (
-        spots.join(home, "station_id", "left")
-        .withColumn("home", F.coalesce("home", F.lit(0)))
-        .select(
-            "*",
-            F.greatest(F.col("home") - 1, F.lit(0)).alias("level"),
-            (side * side * 3 * (1 + 1e-9) + 1e-28).alias("reach2"),
+    spots = settle(_located(listed), "spots")
+    asking = settle(_with_home(spots, k), "searches")
+    used = [row["level"] for row in asking.select("level").distinct().collect()]
+
+    # Each station's search is work of its own, so it is spread over all tasks first;
+    # the ranking then finds its rows where they are.
+    tasks = int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probes = asking.repartition(tasks, "station_id").withColumn("gap2", F.lit(0.0))
+    for axis in "xyz":
+        probes = (
+            probes.withColumn(f"c{axis}", F.expr(f"explode(sequence(c{axis} - 2, c{axis} + 2))"))
+            .withColumn("gap2", F.expr(f"gap2 + pow({_GAP.format(a=axis)}, 2)"))
+            .filter("gap2 <= reach2")
         )
-        .select("*", *_cube_at("level"))
-    )
-    steps = F.sequence(F.lit(-1), F.lit(1))
-    probes = asking
-    for axis in ("cx", "cy", "cz"):
-        probes = probes.withColumn(axis, F.explode(F.transform(steps, _step(axis))))
-    probes = probes.filter(_gap2() <= F.col("reach2")).select(
-        *CUBE, "station_id", "lat", "lng", "x", "y", "z", "reach2"
-    )
-
-    offered = ladder.select(
+    offered = _laddered(spots, f"array({', '.join(map(str, used))})").selectExpr(
         *CUBE,
-        F.col("station_id").alias("other_station_id"),
-        F.col("lat").alias("other_lat"),
-        F.col("lng").alias("other_lng"),
-        F.col("x").alias("ox"),
-        F.col("y").alias("oy"),
-        F.col("z").alias("oz"),
+        "station_id AS other_station_id",
+        *[f"{c} AS other_{c}" for c in ("lat", "lng", "x", "y", "z")],
     )
-    dx, dy, dz = (F.col(a) - F.col(f"o{a}") for a in "xyz")
-    chord2 = dx * dx + dy * dy + dz * dz
+    chord2 = " + ".join(f"({a} - other_{a}) * ({a} - other_{a})" for a in "xyz")
     nearer = Window.partitionBy("station_id").orderBy("chord2", "other_station_id")
+    metres = distance_m(F.col("lng"), F.col("lat"), F.col("other_lng"), F.col("other_lat"))
     return (
         probes.join(offered, CUBE)
-        .filter(F.col("station_id") != F.col("other_station_id"))
-        .withColumn("chord2", chord2)
-        .filter(F.col("chord2") <= F.col("reach2"))
+        .filter("station_id <> other_station_id")
+        .withColumn("chord2", F.expr(chord2))
+        .filter("chord2 <= reach2")
         .withColumn("rank", F.row_number().over(nearer))
         .filter(F.col("rank") <= k)
         .select(
-            "station_id",
-            "other_station_id",
-            "rank",
-            distance_m(
-                F.col("lng"), F.col("lat"), F.col("other_lng"), F.col("other_lat")
-            ).cast("int").alias("distance_meters"),
+            "station_id", "other_station_id", "rank", metres.cast("int").alias("distance_meters")
         )
     )
 
 
-def _cube_at(level: str) -> list[Column]:
-    return [
-        F.expr(f"cast(shiftright(q{axis}, {FINEST_LEVEL} - {level}) as int)").alias(f"c{axis}")
-        for axis in "xyz"
-    ]
+def _located(listed: DataFrame) -> DataFrame:
+    """Stations with their point on the sphere and its cube of the finest level."""
+    finest = 1 << FINEST_LEVEL
+    vector = unit_vector(F.col("lng"), F.col("lat"))
+    points = listed.select(
+        "station_id", "lat", "lng", *[v.alias(a) for v, a in zip(vector, "xyz")]
+    )
+    return points.selectExpr(
+        "*", *[f"least(floor(({a} + 1) / 2 * {finest}), {finest - 1}) AS q{a}" for a in "xyz"]
+    )
 
 
-def _step(axis: str):
-    return lambda by: F.col(axis) + by
+def _laddered(spots: DataFrame, levels: str) -> DataFrame:
+    """Each station once per level, with its cube there."""
+    return spots.selectExpr("*", f"explode({levels}) AS level").selectExpr("*", *_CUBE_AT_LEVEL)
 
 
-def _gap2() -> Column:
-    """Squared distance from a station to the nearest point of the probed cube."""
-    total = F.lit(0.0)
-    width = F.lit(2.0) / F.pow(F.lit(2.0), F.col("level"))
-    for axis in "xyz":
-        low = F.col(f"c{axis}") * width - 1
-        away = F.greatest(low - F.col(axis), F.col(axis) - low - width, F.lit(0.0))
-        total = total + away * away
-    return total
+def _with_home(spots: DataFrame, k: int) -> DataFrame:
+    """Stations with the cube to search from, and the squared reach of the search.
+
+    With no more than `k` stations in all, the search starts from the whole.
+    """
+    ladder = _laddered(spots, f"sequence(0, {FINEST_LEVEL})").select("station_id", *CUBE)
+    crowded = ladder.groupBy(*CUBE).agg(F.count(F.lit(1)).alias("held")).filter(
+        F.col("held") > k
+    )
+    home = (
+        ladder.join(crowded.select(*CUBE), CUBE).groupBy("station_id").agg(F.max("level").alias("level"))
+    )
+    # The margin keeps rounding from hiding a cube or a station.
+    reach2 = " + ".join(f"pow({_FAR.format(a=a)}, 2)" for a in "xyz")
+    return (
+        spots.join(home, "station_id", "left")
+        .withColumn("level", F.coalesce("level", F.lit(0)))
+        .selectExpr("*", *_CUBE_AT_LEVEL)
+        .withColumn("reach2", F.expr(f"({reach2}) * (1 + 1e-9) + 1e-28"))
+    )
+
+
+_CUBE_AT_LEVEL = [
+    f"cast(shiftright(q{a}, {FINEST_LEVEL} - level) as int) AS c{a}" for a in "xyz"
+]
+_WIDTH = "pow(2.0D, 1 - level)"
+_LOW = "(c{a} * " + _WIDTH + " - 1)"
+
+# Along an axis: from a station to the farther side of its own cube, and to the nearer
+# side of another cube, 0 inside that cube's bounds.
+_FAR = "greatest({a} - " + _LOW + ", " + _LOW + " + " + _WIDTH + " - {a})"
+_GAP = "greatest(" + _LOW + " - {a}, {a} - " + _LOW + " - " + _WIDTH + ", 0.0D)"
 
 
 def _crowded_rest(points: DataFrame, listed: DataFrame, k: int) -> DataFrame:

@@ -15,6 +15,7 @@ def local_session(cores: str = "*", app: str = "snapflow", memory: str = "20g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         .getOrCreate()
     )
