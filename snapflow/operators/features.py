@@ -15,35 +15,36 @@ def neighbour_bikes(snapshots: DataFrame, nearest: DataFrame, k: int = 5) -> Dat
     a list is left out.
 
     Each snapshot is sent to the stations that list it, and to its own, and one
-    aggregate by station and time puts the columns together. So there is a single
-    shuffle, on a key that no station can make hot, and the same plan runs on a
-    stream with one stateful operator. `nearest` is as small as the set of
-    stations; Spark broadcasts it if its measured size allows.
+    aggregate by station and time puts the columns together, on a stream with a
+    single stateful operator. In batch the snapshots are brought together by time
+    first: a moment holds at most one row per station, so no moment is hot, and
+    sending and aggregating then stay inside the task. `nearest` is as small as the
+    set of stations; Spark broadcasts it if its measured size allows.
     """
-    routes = nearest.select(
-        F.col("station_id").alias("target"),
-        F.array_size("closest_stations").alias("listed"),
-        F.posexplode(
-            F.concat(F.array("station_id"), F.slice("closest_stations", 1, k))
-        ).alias("place", "station_id"),
+    if not snapshots.isStreaming:
+        snapshots = snapshots.repartition("ts")
+    routes = nearest.selectExpr(
+        "station_id AS target",
+        "array_size(closest_stations) AS listed",
+        "posexplode(concat(array(station_id), slice(closest_stations, 1, "
+        f"{k}))) AS (place, station_id)",
     )
-    own = F.col("place") == 0
     sent = snapshots.select("station_id", "ts", "bikes").join(routes, "station_id")
+    places = range(1, k + 1)
     met = sent.groupBy(F.col("target").alias("station_id"), "ts").agg(
-        F.max(F.when(own, F.col("bikes"))).alias("bikes"),
-        F.max(F.when(own, F.col("listed"))).alias("listed"),
+        F.expr("max(CASE WHEN place = 0 THEN bikes END) AS bikes"),
+        F.expr("max(CASE WHEN place = 0 THEN listed END) AS listed"),
+        *[F.expr(f"max(CASE WHEN place = {i} THEN bikes END) AS at_{i}") for i in places],
+    )
+    return met.filter("listed IS NOT NULL").selectExpr(
+        "station_id",
+        "ts",
+        "bikes",
         *[
-            F.max(F.when(F.col("place") == i, F.col("bikes"))).alias(f"at_{i}")
-            for i in range(1, k + 1)
+            f"CASE WHEN listed >= {i} THEN coalesce(at_{i}, 0L) END AS close_bikes_{i}"
+            for i in places
         ],
     )
-    filled = [
-        F.when(F.col("listed") >= i, F.coalesce(f"at_{i}", F.lit(0).cast("bigint"))).alias(
-            f"close_bikes_{i}"
-        )
-        for i in range(1, k + 1)
-    ]
-    return met.filter(F.col("listed").isNotNull()).select("station_id", "ts", "bikes", *filled)
 
 
 def gold_features(snapshots: DataFrame, nearest: DataFrame, k: int = 5) -> DataFrame:

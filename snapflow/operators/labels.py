@@ -1,7 +1,5 @@
 """Labels: the value that a key has some hours later."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -34,56 +32,47 @@ def label_ahead(
     low, high = hours * 3600 - tol_s, hours * 3600 + tol_s
     if low <= 0:
         raise ValueError("the tolerance must be shorter than the time ahead")
-    if one_per_moment:
-        return _look_ahead(
-            df, key, F.unix_timestamp(ts), low, high, block_s, name, lambda w: F.avg(value).over(w)
-        )
     timed = df.withColumn("_second", F.unix_timestamp(ts))
+    if one_per_moment:
+        spread = _spread_ahead(timed, low, high, block_s)
+        ahead = Window.partitionBy(key, "_block").orderBy("_second").rangeBetween(low, high)
+        return _own_block(spread.withColumn(name, F.avg(value).over(ahead))).drop("_second")
     sums = timed.groupBy(key, "_second").agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_count")
     )
-    labels = _look_ahead(
-        sums,
-        key,
-        F.col("_second"),
-        low,
-        high,
-        block_s,
-        name,
-        lambda w: F.try_divide(F.sum("_sum").over(w), F.sum("_count").over(w)),
-    )
-    return timed.join(labels.drop("_sum", "_count"), [key, "_second"], "left").select(
+    spread = _spread_ahead(sums, low, high, block_s)
+    blocks = Window.partitionBy(key, "_block").orderBy("_second")
+    within = [_sum_within(c, blocks, low, high) for c in ("_sum", "_count")]
+    labels = _own_block(spread.withColumn(name, F.try_divide(*within)))
+    return timed.join(labels.select(key, "_second", name), [key, "_second"], "left").select(
         *df.columns, name
     )
 
 
-def _look_ahead(
-    df: DataFrame,
-    key: str,
-    at: Column,
-    low: int,
-    high: int,
-    block_s: int,
-    name: str,
-    mean: Callable[[WindowSpec], Column],
-) -> DataFrame:
-    block = F.lit(block_s)
-    own = F.floor(at / block)
-    seen_from = F.sequence(F.floor((at - high) / block), F.floor((at - low) / block))
-    spread = df.select(
-        "*",
-        at.alias("_at"),
-        own.alias("_own"),
-        F.explode(F.array_union(F.array(own), seen_from)).alias("_block"),
-    )
-    ahead = Window.partitionBy(key, "_block").orderBy("_at").rangeBetween(low, high)
-    return (
-        spread.withColumn(name, mean(ahead))
-        .filter(F.col("_block") == F.col("_own"))
-        .drop("_at", "_own", "_block")
+def _spread_ahead(timed: DataFrame, low: int, high: int, block_s: int) -> DataFrame:
+    """Rows in their own block of time and in those that look ahead to them."""
+    own = f"floor(_second / {block_s})"
+    ahead_of = f"sequence(floor((_second - {high}) / {block_s}), floor((_second - {low}) / {block_s}))"
+    return timed.withColumn("_own", F.expr(own)).withColumn(
+        "_block", F.expr(f"explode(array_union(array(_own), {ahead_of}))")
     )
 
 
+def _own_block(spread: DataFrame) -> DataFrame:
+    return spread.filter("_block = _own").drop("_own", "_block")
+
+
+def _sum_within(col: str, blocks: WindowSpec, low: int, high: int) -> Column:
+    """Sum over a long frame, as the difference of two sums that only grow.
+
+    Spark would add up each row's frame anew.
+    """
+    first = Window.unboundedPreceding
+    upto = F.sum(col).over(blocks.rangeBetween(first, high))
+    before = F.sum(col).over(blocks.rangeBetween(first, low - 1))
+    return upto - F.coalesce(before, F.lit(0))
+
+
 def label_table(gold: DataFrame, hours: int = HOURS_AHEAD) -> DataFrame:
     """The label of each gold row, by station_id and ts; null where unknown."""
     return label_ahead(gold.select("station_id", "ts", "bikes"), hours=hours).drop("bikes")

@@ -60,7 +60,7 @@ def dedup_snapshots(
     """One row per station and slot, `ts` being the start of the slot.
 
     In batch the slot's earliest reading stays, whatever the order of the input;
-    readings of one moment are told apart by their values. A stream passes on the
+    readings of one moment are told apart by a hash of their values. A stream passes on the
     reading that arrives first, and forgets a slot once the watermark, which runs
     on slot starts and trails by `delay`, has passed it.
     """
@@ -80,12 +80,25 @@ def dedup_snapshots(
 
 
 def _first_in_slot(readings: DataFrame, values: list[str]) -> DataFrame:
-    first = F.min(F.struct("ts", *values)).alias("first")
-    return (
-        readings.groupBy("station_id", "slot")
-        .agg(first)
-        .select("station_id", F.col("slot").alias("ts"), *[f"first.{c}" for c in values])
+    """The earliest reading of each station in each slot.
+
+    The order is one number, the time since the slot began and then a hash of the
+    values. With numbers to pick by it, Spark aggregates in a hash map, before and
+    after the shuffle; all of them come from one reading, as they share the order.
+    Text does not fit that map, so with text the values are picked as one struct.
+    """
+    order = (
+        "(unix_micros(ts) - unix_micros(slot)) * 8589934592"
+        f" + pmod(xxhash64({', '.join(values)}), 8589934592)"
     )
+    ordered = readings.withColumn("_order", F.expr(order)).groupBy("station_id", "slot")
+    if "string" in {kind for name, kind in readings.dtypes if name in values}:
+        first = ordered.agg(F.min_by(F.struct(*values), "_order").alias("_first"))
+        picked = [f"_first.{c}" for c in values]
+    else:
+        first = ordered.agg(*[F.min_by(c, "_order").alias(c) for c in values])
+        picked = values
+    return first.select("station_id", F.col("slot").alias("ts"), *picked)
 
 
 def slot_counts(readings: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", str(warehouse))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
