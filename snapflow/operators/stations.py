@@ -24,16 +24,29 @@ def station_rows(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def station_catalogue(snapshots: DataFrame) -> DataFrame:
-    """One row per station with its latest description (batch).
+def last_descriptions(snapshots: DataFrame) -> DataFrame:
+    """Each station's latest description, with the time it was last `seen` (batch).
 
     Descriptions are few beside snapshots, so they are reduced first, by a hash
     aggregate whose only state is the time last seen.
     """
     seen = snapshots.groupBy(*STATION_COLUMNS).agg(F.max("ts").alias("seen"))
+    return latest_of(seen)
+
+
+def latest_of(seen: DataFrame) -> DataFrame:
+    """One row per station: of several descriptions the one seen last."""
     return (
         seen.groupBy("station_id")
         .agg(F.max(F.struct("seen", "station_name", "lat", "lng")).alias("last"))
-        .select("station_id", "last.station_name", "last.lat", "last.lng")
-        .withColumn("district", district("station_name"))
+        .select("station_id", "last.*")
     )
+
+
+def station_catalogue(snapshots: DataFrame) -> DataFrame:
+    """One row per station with its latest description and its district (batch)."""
+    return with_district(last_descriptions(snapshots))
+
+
+def with_district(seen: DataFrame) -> DataFrame:
+    return seen.select(*STATION_COLUMNS).withColumn("district", district("station_name"))

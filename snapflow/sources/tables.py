@@ -178,6 +178,8 @@ def upsert_stream(
     )
     if await_:
         query.awaitTermination()
+        # The stream writes in a session of its own; this one has an old file list.
+        df.sparkSession.catalog.refreshTable(table)
     return query
 
 

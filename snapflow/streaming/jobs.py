@@ -3,11 +3,17 @@
 Every stream runs over what has arrived and stops. A next stage reads the table that
 the former has written, so a document is parsed once, and each stage can be started
 again after a failure: its checkpoint knows what it has taken up.
+
+Only the first stage bounds its micro-batches. A table's files of one write have no
+order in time, so a later stage that took them up piece by piece could find its own
+watermark ahead of rows still to come; it takes up all new files at once instead. A
+long history is therefore better loaded by the same operators in batch.
 """
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapflow.operators.features import gold_features
 from snapflow.operators.labels import label_table
@@ -19,7 +25,12 @@ from snapflow.operators.snapshots import (
     flatten_places,
     place_readings,
 )
-from snapflow.operators.stations import station_catalogue, station_rows
+from snapflow.operators.stations import (
+    last_descriptions,
+    latest_of,
+    station_rows,
+    with_district,
+)
 from snapflow.schema import DOCUMENT
 from snapflow.sources.readers import read_snapshot_stream, read_table_stream
 from snapflow.sources.tables import (
@@ -27,9 +38,16 @@ from snapflow.sources.tables import (
     ensure_schema,
     overwrite_table,
     set_quality,
+    settle,
+    upsert,
     with_partition_date,
 )
 
+CATALOGUE = (
+    "station_id bigint, seen timestamp, station_name string, lat double, lng double, shard int"
+)
+CATALOGUE_SHARDS = 16
+
 
 @dataclass(frozen=True)
 class Job:
@@ -60,7 +78,7 @@ def ingest_documents(spark: SparkSession, job: Job, path: str) -> None:
 
 def refine_snapshots(spark: SparkSession, job: Job) -> None:
     """New documents into snapshots, partitioned by date."""
-    docs = read_table_stream(spark, job.table("jsons_bronze"), job.max_files)
+    docs = read_table_stream(spark, job.table("jsons_bronze"))
     readings = place_readings(flatten_places(docs), job.since)
     dated = with_partition_date(dedup_snapshots(readings, job.delay), "date", "ts")
     name = job.table("snapshots_silver")
@@ -70,22 +88,58 @@ def refine_snapshots(spark: SparkSession, job: Job) -> None:
 
 def refine_stations(spark: SparkSession, job: Job) -> None:
     """New descriptions of stations, then each station's nearest others."""
-    snapshots = read_table_stream(spark, job.table("snapshots_silver"), job.max_files)
+    snapshots = read_table_stream(spark, job.table("snapshots_silver"))
     name = job.table("stations_silver")
     append_stream(
         station_rows(snapshots), name, job.checkpoint("stations_silver"), "stations_stream"
     )
     set_quality(spark, name, "silver", "Distinct descriptions of stations")
-    catalogue = station_catalogue(spark.table(job.table("snapshots_silver")))
+    update_catalogue(spark, job)
+    catalogue = with_district(spark.table(job.table("station_catalogue")))
     overwrite_table(nearest_k(catalogue, job.neighbours), job.table("stations_with_closest"))
 
 
+def update_catalogue(spark: SparkSession, job: Job) -> None:
+    """Take new snapshots into the table of each station's latest description.
+
+    Only new snapshots are read. Each micro-batch is reduced to a row per station,
+    set against the known rows, and upserted; done twice, it changes nothing.
+    """
+    name = job.table("station_catalogue")
+    if not spark.catalog.tableExists(name):
+        empty = spark.createDataFrame([], CATALOGUE)
+        empty.write.partitionBy("shard").saveAsTable(name)
+
+    def take_in(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        fresh = last_descriptions(batch)
+        known = session.table(name).join(fresh, "station_id", "left_semi").drop("shard")
+        shard = F.pmod(F.xxhash64("station_id"), F.lit(CATALOGUE_SHARDS)).cast("int")
+        latest = latest_of(fresh.unionByName(known)).withColumn("shard", shard)
+        upsert(session, name, settle(latest, "catalogue"), ["station_id"], "shard")
+
+    source = read_table_stream(spark, job.table("snapshots_silver"))
+    query = (
+        source.writeStream.queryName("catalogue_stream")
+        .trigger(availableNow=True)
+        .option("checkpointLocation", job.checkpoint("station_catalogue"))
+        .foreachBatch(take_in)
+        .start()
+    )
+    query.awaitTermination()
+    spark.catalog.refreshTable(name)  # a stream writes in a session of its own
+
+
 def build_gold(spark: SparkSession, job: Job) -> None:
-    """New snapshots into feature rows. The newest slot waits for the watermark."""
+    """New snapshots into feature rows.
+
+    The newest slots wait for the watermark. It trails as far as that of the
+    snapshots does, so a late snapshot that they took in is not lost here.
+    """
     snapshots = (
-        read_table_stream(spark, job.table("snapshots_silver"), job.max_files)
+        read_table_stream(spark, job.table("snapshots_silver"))
         .select("station_id", "ts", "bikes")
-        .withWatermark("ts", "10 seconds")
+        .withWatermark("ts", job.delay)
     )
     nearest = spark.table(job.table("stations_with_closest"))
     gold = with_partition_date(
