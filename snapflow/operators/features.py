@@ -22,7 +22,8 @@ def neighbour_bikes(snapshots: DataFrame, nearest: DataFrame, k: int = 5) -> Dat
     set of stations; Spark broadcasts it if its measured size allows.
     """
     if not snapshots.isStreaming:
-        snapshots = snapshots.repartition("ts")
+        tasks = int(snapshots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        snapshots = snapshots.repartition(tasks, "ts")
     routes = nearest.selectExpr(
         "station_id AS target",
         "array_size(closest_stations) AS listed",

@@ -2,6 +2,7 @@
 
 from pyspark.sql import SparkSession
 
+
 def local_session(cores: str = "*", app: str = "snapflow", memory: str = "20g") -> SparkSession:
     """On a cluster the submitted configuration takes the place of this."""
     spark = (
@@ -10,6 +11,8 @@ def local_session(cores: str = "*", app: str = "snapflow", memory: str = "20g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small local tables: a task per core rather than per megabyte.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
