@@ -297,7 +297,7 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "gold_features": _sql("SELECT * FROM gold", "gold"),
     "label_4h": _sql("SELECT station_id, ts, label FROM labels", "labels"),
-    "label_4h_events": """SELECT event_id, round(avg(value) OVER (
+    "label_4h_events": """SELECT event_id, round(avg(CAST(floor(value) AS BIGINT)) OVER (
             PARTITION BY event_type ORDER BY date_trunc('second', ts)
             RANGE BETWEEN INTERVAL '13800 seconds' FOLLOWING
                       AND INTERVAL '15000 seconds' FOLLOWING), 4) AS label

@@ -214,7 +214,9 @@ def q_label_4h(spark, sf):
 
 def q_label_4h_events(spark, sf):
     """The label at the readings' own times, many of them within one frame."""
-    readings = domain.events(spark, sf).select("event_id", "event_type", "ts", "value")
+    readings = domain.events(spark, sf).select(
+        "event_id", "event_type", "ts", F.floor("value").alias("value")
+    )
     labelled = label_ahead(
         readings, key="event_type", value="value", tol_s=600, one_per_moment=False
     )
