@@ -27,7 +27,7 @@ def place(number, bikes=3, spot=True, bike=False, name=None, lat=47.5, lng=19.0)
 def document(places, country=True):
     if not country:
         return {"countries": []}
-    return {"countries": [{"name": "bubi", "cities": [{"uid": 1, "break": False, "places": places}]}]}
+    return {"countries": [{"name": "somewhere", "cities": [{"uid": 1, "break": False, "places": places}]}]}
 
 
 def write_documents(folder, documents):
