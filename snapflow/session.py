@@ -3,7 +3,7 @@
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "*", app: str = "snapflow", memory: str = "20g") -> SparkSession:
+def local_session(cores: str = "*", app: str = "snapflow", memory: str = "8g") -> SparkSession:
     """On a cluster the submitted configuration takes the place of this."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -1,6 +1,6 @@
 """Writers of tables: append, overwrite, create, upsert, and reset."""
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +13,15 @@ from snapflow.operators.checks import check_unique
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies under the cluster's `spark.checkpoint.dir`. Where that is unset, as in
-    local tests, it is a folder of this machine.
+    It lies under the cluster's `spark.checkpoint.dir`, or else under the warehouse.
+    A warehouse on this machine's disk is refused unless the session is local.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        base = tempfile.mkdtemp(prefix="snapflow-")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        if not local and re.match(r"file:|/", base):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/snapflow-{purpose}-{uuid.uuid4().hex}"
 
 
