@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.llm import decontaminate as bench
-from snapflow.llm import language, quality_rules, token_count
+from snapflow.llm import language, line_dedup, quality_rules, token_count
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,11 +40,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op5_token_count": op5_token_count,
     "op6_quality_rules": op6_quality_rules,
     "op9_decontamination": op9_decontamination,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 LLM_ORACLE: dict[str, str] = {}
