@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.llm import decontaminate as bench
-from snapflow.llm import language, line_dedup, quality_rules, token_count
+from snapflow.llm import language, line_dedup, packing, quality_rules, simhash, token_count
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,10 +44,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash(read(spark, sf_dir, "documents")).drop("root")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
+    "op3_simhash": op3_simhash,
     "op5_token_count": op5_token_count,
     "op6_quality_rules": op6_quality_rules,
+    "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -1,0 +1,87 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from snapflow.llm.packing import (
+    IN_SENTENCE,
+    PER_SEQUENCE,
+    TOKENIZER,
+    WordIds,
+    choose_cuts,
+    pack,
+    padding,
+)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+
+
+def test_ids_are_the_librarys(library):
+    words = WordIds(public_tokenizers.path(TOKENIZER))
+    texts = ["", None, "a  b", "It's 's", "<|endoftext|> x<|startoftext|>y", "汉字 É\xa0x \x1cy",
+             "ΑΣ ΑΣ. Σ", "İx ́a", "...!! ?! .", " \n\t", "x" * 5000]
+    for text in texts:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert words.document(text).tolist() == [*ids, 2]
+
+
+def test_cuts_are_the_cheapest():
+    rng = random.Random(1)
+    for _ in range(300):
+        places = [0]
+        while len(places) < rng.randint(2, 12):
+            places.append(places[-1] + rng.randint(1, 16))
+        own = [0.0] + [float(rng.choice([0, 2, 64])) for _ in places[1:]]
+        best = [0.0] + [float("inf")] * (len(places) - 1)
+        for j in range(1, len(places)):
+            for i in range(j):
+                size = places[j] - places[i]
+                if size <= 16:
+                    best[j] = min(best[j], best[i] + padding(size, 16) + own[j] + PER_SEQUENCE)
+        before, cost = choose_cuts(np.array(places), np.array(own), 16)
+        assert cost == best
+        j = len(places) - 1
+        while j:
+            size = places[j] - places[before[j]]
+            assert 0 < size <= 16
+            assert cost[j] == cost[before[j]] + padding(size, 16) + own[j] + PER_SEQUENCE
+            j = before[j]
+    assert IN_SENTENCE > 0
+
+
+def test_every_id_in_one_piece_and_sequences_gapless(spark, library):
+    rng = random.Random(2)
+    vocabulary = ["the", "of", "ing.", "and", "strange!", "x,", "Ünder", "42"]
+    rows = [(k, " ".join(rng.choices(vocabulary, k=rng.randint(0, 900))), 1) for k in range(200)]
+    rows += [(500, "word " * 30_000, 1), (501, None, 1), (502, "", 1), (None, "no id.", 1), (3, rows[3][1], 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, start int").repartition(3)
+    pieces = pack(frame).collect()
+    sequences, documents = {}, {}
+    for p in pieces:
+        sequences.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+        documents.setdefault(p["doc_id"], []).append(p)
+    for parts in sequences.values():
+        end = 0
+        for offset, size in sorted(parts):
+            assert offset == end and size > 0
+            end += size
+        assert end <= 4096
+    filled = [sum(n for _, n in parts) for parts in sequences.values()]
+    assert sum(map(padding, filled)) < 0.02 * sum(filled)
+    assert set(documents) == {r[0] for r in rows}
+    for key, text, _ in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        parts = sorted(documents[key], key=lambda p: p["start"])
+        copies = 2 if key == 3 else 1
+        assert sum(p["length"] for p in parts) == copies * len(ids)
+        for p in parts:
+            assert p["doc_tokens"] == len(ids)
+            some = np.array(ids[p["start"] : p["start"] + p["length"]], "<u4")
+            assert p["ids_crc32"] == zlib.crc32(some.tobytes())
+    assert pack(frame.limit(0)).collect() == []
