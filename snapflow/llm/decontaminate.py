@@ -128,33 +128,37 @@ def search_documents(
     item_text: str = "text",
     size: int = WINDOW,
     part_chars: int = PART_CHARS,
+    carry: list[str] = (),
 ) -> DataFrame:
     """Where test strings occur in each text.
 
-    Returns `key`, n_words, spans (array of [start, end) in words, disjoint, ascending)
+    Returns `key`, others (a struct of the columns that `carry` names), n_words, spans (array of [start, end) in words, disjoint, ascending)
     and items (ids as strings, sorted). Null texts have no words. Rows that repeat each
     have their result; benchmark rows that share an id count as one item; those without
     an id are searched, and hit, but not listed. With an empty benchmark nothing is hit.
     Other columns are not read.
     """
     kind = docs.schema[key].dataType.simpleString()
+    others = F.struct(*carry) if carry else F.lit(None).cast("string")
     state = "n_words long, spans array<array<int>>, items array<string>"
     rows = docs.select(
         F.col(key).alias("id"),
+        others.alias("others"),
         F.col(text).alias("text"),
         F.array().cast("array<array<int>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
     broadcast = docs.sparkSession.sparkContext.broadcast
+    kept_kind = rows.schema["others"].dataType.simpleString()
     part = None
     for following in benchmark_parts(benchmark, item, item_text, part_chars):
         if part is not None:
             search = _Search(broadcast(part), size, keep_text=True)
-            kept = map_slices(rows, f"id {kind}, text string, {state}", search)
+            kept = map_slices(rows, f"id {kind}, others {kept_kind}, text string, {state}", search)
             rows = settle(kept.drop("n_words"), "searched")
         part = following
     search = _Search(broadcast(part), size, keep_text=False)
-    return map_slices(rows, f"id {kind}, {state}", search).withColumnRenamed("id", key)
+    return map_slices(rows, f"id {kind}, others {kept_kind}, {state}", search).withColumnRenamed("id", key)
 
 
 class _Search:
@@ -164,14 +168,14 @@ class _Search:
     def __call__(self):
         tables = searchers(self.items.value, self.size)
 
-        def act(ids, texts, spans, items):
+        def act(ids, others, texts, spans, items):
             rows = []
-            for i, t, s, owned in zip(ids, texts, spans, items):
+            for i, o, t, s, owned in zip(ids, others, texts, spans, items):
                 n, new, more = find(t, tables)
                 listed = sorted({*owned, *more} - {None})
                 both = [list(x) for x in union([*s, *new])]
-                rows.append((i, *([t] if self.keep_text else []), n, both, listed))
-            return columns_of(rows, 4 + self.keep_text)
+                rows.append((i, o, *([t] if self.keep_text else []), n, both, listed))
+            return columns_of(rows, 5 + self.keep_text)
 
         return act
 
@@ -192,3 +196,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
         )
     )
 
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
+    """The rows of `docs` that are not contaminated, with all their columns."""
+    found = decontaminate(docs, benchmark, carry=docs.columns, **names)
+    return found.filter(~F.col("contaminated")).select(
+        *[F.col("others")[c].alias(c) for c in docs.columns]
+    )

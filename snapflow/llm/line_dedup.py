@@ -187,9 +187,10 @@ def _links(lines: DataFrame) -> DataFrame:
 
 
 def _earlier(a: tuple, b: tuple) -> bool:
-    return (a[0] is not None, a[0] or 0, a[1]) < (b[0] is not None, b[0] or 0, b[1]) if (
-        a[0] is None or b[0] is None
-    ) else a < b
+    """By id, a null first, and place."""
+    if a[0] is None or b[0] is None:
+        return (a[0] is not None, a[1]) < (b[0] is not None, b[1])
+    return a < b
 
 
 def _verified(links: DataFrame, lines: DataFrame) -> DataFrame:
@@ -245,17 +246,21 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return gone.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("nos"))
 
 
-def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def line_dedup(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[str] = ()
+) -> DataFrame:
     """Texts without the lines that have an equal or near one earlier.
 
-    Returns `key`, text, n_lines and n_dropped. Lines of fewer than MIN_WORDS words stay.
+    Returns `key`, text, n_lines, n_dropped, and the columns of `docs` that `carry`
+    names. Lines of fewer than MIN_WORDS words stay.
     Null texts stay null, with no lines; an empty text has one line. Rows that share an
     id count as one document at one place: a line that occurs at the same place in them
     is no repeat of itself. A text that loses all its lines is empty. Other columns of
     `docs` are not read.
     """
     gone = settle(dropped_lines(docs, key, text), "dropped-lines")
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    others = F.struct(*carry) if carry else F.lit(None)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), others.alias("others"))
     joined = rows.join(gone, F.col("key").eqNullSafe(gone.id), "left")
     parts = F.split("text", "\n", -1)
     kept = F.filter(parts, lambda _, i: ~F.array_contains("nos", i))
@@ -264,4 +269,5 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.when(F.col("nos").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias(text),
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("nos"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[F.col("others")[c].alias(c) for c in carry],
     )

@@ -129,7 +129,7 @@ def quality_rules(
 ) -> DataFrame:
     """Counts and verdict per row of `docs`.
 
-    Returns `key`, the base counts, words_left, dropped_lines (places of lines above the
+    Returns `key`, the base counts, text_hash (xxhash64 of the text), words_left, dropped_lines (places of lines above the
     limits, ascending) and kept. Null and empty texts have no words and fail; null is a
     host like any other; rows that repeat each get the result, and count once towards
     the frequency of their lines. Other columns of `docs` are not read.
@@ -149,6 +149,7 @@ def quality_rules(
     return judged.select(
         F.col("id").alias(key),
         *[c.split()[0] for c in COUNTS.split(", ")],
+        "text_hash",
         "words_left",
         F.col("gone.places").alias("dropped_lines"),
         (~F.col("base_failed") & ~depleted).alias("kept"),
@@ -157,3 +158,29 @@ def quality_rules(
 
 def gone_type() -> str:
     return "array<struct<places:int,marks:bigint,sizes:int>>"
+
+
+def apply_rules(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    rules: Rules = Rules(),
+) -> DataFrame:
+    """The rows of `docs` that are kept, their texts without the lines above the limits.
+
+    The columns are those of `docs`. Rows go by their id and text, so that rows that share
+    an id alone are judged by their own text.
+    """
+    verdict = quality_rules(docs, key, text, host, rules).filter("kept")
+    verdict = verdict.select(
+        F.col(key).alias("kept_id"), "text_hash", F.col("dropped_lines").alias("gone")
+    ).dropDuplicates(["kept_id", "text_hash"])
+    rows = docs.withColumn("text_of_row", F.xxhash64(F.coalesce(text, F.lit(""))))
+    joined = rows.join(
+        verdict,
+        F.col(key).eqNullSafe(F.col("kept_id")) & (F.col("text_of_row") == F.col("text_hash")),
+    )
+    lines = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("gone", i))
+    cleaned = F.when(F.size("gone") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
+    return joined.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -8,24 +8,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.llm import decontaminate as bench
-from snapflow.llm import language, line_dedup, packing, quality_rules, simhash, token_count
+from snapflow.llm import (
+    html_extract,
+    language,
+    line_crf,
+    line_dedup,
+    packing,
+    quality_rules,
+    simhash,
+    token_count,
+    url_filter,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: The rules that the query is to apply.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return language.predict_language(docs, language.training_samples(docs))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_filter.rule_table(spark, URL_RULES)
+    return url_filter.url_filter(read(spark, sf_dir, "pages"), rules)
+
+
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(read(spark, sf_dir, "documents"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(read(spark, sf_dir, "documents")).drop("dropped_lines")
+    return quality_rules.quality_rules(read(spark, sf_dir, "documents")).drop("dropped_lines", "text_hash")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,15 +77,23 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(read(spark, sf_dir, "documents")).drop("root")
 
 
+def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return line_crf.score_quality(docs, line_crf.learn_quality(docs, labels))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_language": op2_language,
     "op3_simhash": op3_simhash,
+    "op4_url_filter": op4_url_filter,
     "op5_token_count": op5_token_count,
     "op6_quality_rules": op6_quality_rules,
+    "op7_line_crf": op7_line_crf,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
@@ -145,3 +182,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
+
+LLM_ORACLE["op4_url_filter"] = r"""
+WITH RECURSIVE rules(verdict, host, path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+         ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), found AS (
+  SELECT url, unnest(regexp_extract_all(html,
+           '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')) AS tag FROM pages
+), targets AS (
+  SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS target FROM found
+), ways AS (
+  SELECT split_part(url, '#', 1) AS a, split_part(target, '#', 1) AS b FROM targets
+  UNION SELECT split_part(target, '#', 1), split_part(url, '#', 1) FROM targets
+), urls AS (
+  SELECT DISTINCT url,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM (SELECT url FROM pages UNION SELECT a FROM ways)
+), fits AS (
+  SELECT url, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+         arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM urls u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host))
+   AND starts_with(u.path, r.path) GROUP BY url
+), heard(url, verdict) AS (
+  SELECT a, verdict FROM (SELECT DISTINCT a FROM ways) JOIN fits ON a = url
+  UNION
+  SELECT b, verdict FROM heard JOIN ways ON url = a
+), aliases AS (
+  SELECT url, min(verdict) AS verdict FROM heard GROUP BY url
+)
+SELECT page_id, u.host, u.path, f.rule, coalesce(f.verdict, a.verdict, 'allow') AS verdict
+FROM pages p JOIN urls u ON p.url IS NOT DISTINCT FROM u.url
+LEFT JOIN fits f ON p.url = f.url LEFT JOIN aliases a ON split_part(p.url, '#', 1) = a.url
+"""
