@@ -1,6 +1,6 @@
 """Labels: the value that a key has some hours later."""
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOURS_AHEAD = 4
@@ -40,10 +40,11 @@ def label_ahead(
     sums = timed.groupBy(key, "_second").agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_count")
     )
+    # A frame holds at most a sum per second of twice the tolerance.
+    ahead = Window.partitionBy(key, "_block").orderBy("_second").rangeBetween(low, high)
     spread = _spread_ahead(sums, low, high, block_s)
-    blocks = Window.partitionBy(key, "_block").orderBy("_second")
-    within = [_sum_within(c, blocks, low, high) for c in ("_sum", "_count")]
-    labels = _own_block(spread.withColumn(name, F.try_divide(*within)))
+    mean = F.try_divide(F.sum("_sum").over(ahead), F.sum("_count").over(ahead))
+    labels = _own_block(spread.withColumn(name, mean))
     return timed.join(labels.select(key, "_second", name), [key, "_second"], "left").select(
         *df.columns, name
     )
@@ -62,17 +63,6 @@ def _own_block(spread: DataFrame) -> DataFrame:
     return spread.filter("_block = _own").drop("_own", "_block")
 
 
-def _sum_within(col: str, blocks: WindowSpec, low: int, high: int) -> Column:
-    """Sum over a long frame, as the difference of two sums that only grow.
-
-    Spark would add up each row's frame anew.
-    """
-    first = Window.unboundedPreceding
-    upto = F.sum(col).over(blocks.rangeBetween(first, high))
-    before = F.sum(col).over(blocks.rangeBetween(first, low - 1))
-    return upto - F.coalesce(before, F.lit(0))
-
-
 def label_table(gold: DataFrame, hours: int = HOURS_AHEAD) -> DataFrame:
     """The label of each gold row, by station_id and ts; null where unknown."""
     return label_ahead(gold.select("station_id", "ts", "bikes"), hours=hours).drop("bikes")

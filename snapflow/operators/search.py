@@ -10,7 +10,6 @@ from snapflow.operators.linear import (
     moments_before,
     squared_error,
     with_solution,
-    y_spread,
 )
 from snapflow.operators.metrics import r2_of
 
@@ -32,7 +31,7 @@ def ridge_fold_scores(
     chunks, and its errors follow from the sums of its own.
     """
     width = len(xs)
-    chunks = moments(chunked, [key, "chunk"], xs, y)
+    chunks = moments(chunked, [key], xs, y, ("chunk",))
     choices = F.array(*[F.lit(float(p)) for p in penalties])
     fitted = with_solution(
         moments_before(chunks, key, width).withColumn("penalty", F.explode(choices)),
@@ -41,12 +40,11 @@ def ridge_fold_scores(
     return (
         chunks.join(fitted, [key, "chunk"])
         .withColumn("mse", squared_error(width) / F.col("n"))
-        .withColumn("_spread", y_spread())
         .select(
             key,
             "penalty",
             F.col("chunk").alias("fold"),
-            r2_of("mse", "_spread").alias("r2"),
+            r2_of("mse", "spread").alias("r2"),
             F.sqrt("mse").alias("rmse"),
         )
     )

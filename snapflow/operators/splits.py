@@ -24,8 +24,11 @@ def temporal_split(
 
 def hash_split(df: DataFrame, keys: list[str], share: float = 0.9, seed: int = 42) -> DataFrame:
     """`df` with `is_train`, drawn by a hash of the keys, so that a row always falls
-    on the same side, in whatever order or number of partitions it is read."""
-    parts = [F.col(k).cast("string") for k in keys]
+    on the same side, in whatever order, number of partitions or time zone it is read."""
+    kinds = dict(df.dtypes)
+    parts = [
+        (F.unix_micros(k) if kinds[k] == "timestamp" else F.col(k)).cast("string") for k in keys
+    ]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return df.withColumn("is_train", draw < F.lit(int(round(share * 2**32))))

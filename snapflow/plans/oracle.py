@@ -297,7 +297,7 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "gold_features": _sql("SELECT * FROM gold", "gold"),
     "label_4h": _sql("SELECT station_id, ts, label FROM labels", "labels"),
-    "label_4h_events": """SELECT event_id, round(avg(CAST(floor(value) AS BIGINT)) OVER (
+    "label_4h_events": """SELECT event_id, round(avg(value) OVER (
             PARTITION BY event_type ORDER BY date_trunc('second', ts)
             RANGE BETWEEN INTERVAL '13800 seconds' FOLLOWING
                       AND INTERVAL '15000 seconds' FOLLOWING), 4) AS label
@@ -337,7 +337,7 @@ ORACLE: dict[str, str] = {
     "hash_split": _sql(
         """SELECT station_id, ts,
                   ('0x' || substr(md5('42|' || station_id || '|'
-                      || strftime(ts, '%Y-%m-%d %H:%M:%S')), 1, 8))::BIGINT
+                      || epoch_us(ts)), 1, 8))::BIGINT
                   < 3865470566 AS is_train
            FROM snapshots""",
         "snapshots",
@@ -366,6 +366,13 @@ ORACLE: dict[str, str] = {
            FROM known GROUP BY station_id""",
         "known",
     ),
+    "linear_fit_shifted": _sql(
+        """SELECT station_id, count(*) AS row_count, round(regr_slope(y, x), 4) AS slope,
+                  round(regr_r2(y, x), 4) AS r2
+           FROM (SELECT station_id, bikes + 1e7 AS x, label + 1e7 AS y FROM known)
+           GROUP BY station_id HAVING regr_sxx(y, x) > 0""",
+        "known",
+    ),
     "linear_holdout_metrics": _sql(
         """SELECT station_id, row_count, round(r2, 4) AS r2, round(mse, 4) AS mse,
                   round(sqrt(mse), 4) AS rmse, round(intercept, 4) AS intercept,

@@ -215,7 +215,7 @@ def q_label_4h(spark, sf):
 def q_label_4h_events(spark, sf):
     """The label at the readings' own times, many of them within one frame."""
     readings = domain.events(spark, sf).select(
-        "event_id", "event_type", "ts", F.floor("value").alias("value")
+        "event_id", "event_type", "ts", "value"
     )
     labelled = label_ahead(
         readings, key="event_type", value="value", tol_s=600, one_per_moment=False
@@ -309,6 +309,24 @@ def q_linear_fit_per_station(spark, sf):
     return rounded(found, 4, "slope", "intercept", "r2")
 
 
+def q_linear_fit_shifted(spark, sf):
+    """Fits of values far from 0, which must cost no precision."""
+    far = labelled_slots(spark, sf).select(
+        "station_id", (F.col("bikes") + 1e7).alias("x"), (F.col("label") + 1e7).alias("label")
+    )
+    split = far.withColumn("is_train", F.lit(True)).unionByName(
+        far.withColumn("is_train", F.lit(False))
+    )
+    # Tested on what it has learned, a line's r2 is that of its regression.
+    found = fit_and_evaluate(split, "station_id", ["x"]).select(
+        "station_id",
+        (F.col("row_count") / 2).cast("bigint").alias("row_count"),
+        F.get("coefficients", F.lit(1)).alias("slope"),
+        "r2",
+    )
+    return rounded(found.filter("slope != 0"), 4, "slope", "r2")
+
+
 def q_linear_holdout_metrics(spark, sf):
     split = temporal_split(settle(labelled_slots(spark, sf)))
     found = fit_and_evaluate(split, "station_id", ["bikes"])

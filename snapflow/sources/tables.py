@@ -134,28 +134,49 @@ def upsert(
     """Insert `updates` into a partitioned table, replacing rows of equal keys.
 
     Only partitions that `updates` touches are read and rewritten, which needs
-    `partition_col` to follow from the keys. Running it again changes nothing, so
-    a failed run may be repeated, and it may serve `foreachBatch`.
+    `partition_col` to follow from the keys. The distinct partition values of the
+    updates, a line per partition, are fetched to name the partitions to the scan.
+
+    A partition's new rows are written whole to a folder of their own before the
+    catalog is told of it, one partition after the other, and former folders go at the
+    end. So a failure at any time leaves every partition old or new, running it again
+    changes nothing more, and it may serve `foreachBatch`.
     """
+    updates = settle(updates, "updates")
     require_unique(updates, keys)
     target = spark.table(table)
-    touched = updates.select(partition_col).distinct()
-    merged = merge_rows(
-        target.join(touched, partition_col, "left_semi").select(*target.columns),
-        updates,
-        keys,
-    )
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        (
-            merged.select(*target.columns)
-            .hint("rebalance", partition_col)
-            .write.insertInto(table, overwrite=True)
-        )
-    finally:
-        spark.conf.set(setting, before)
+    touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
+    if not touched:
+        return
+    if None in touched:
+        raise ValueError(f"updates without {partition_col}")
+    merged = merge_rows(target.filter(F.col(partition_col).isin(touched)), updates, keys)
+    folder = f"{_location(spark, table)}/_versions/{uuid.uuid4().hex}"
+    merged.select(*target.columns).hint("rebalance", partition_col).write.partitionBy(
+        partition_col
+    ).parquet(folder)
+    former = []
+    for value in touched:
+        spec = f"{partition_col} = '{value}'"
+        place = f"{folder}/{partition_col}={value}"
+        if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").isEmpty():
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{place}'")
+        else:
+            former.append(_location(spark, table, f"PARTITION ({spec})"))
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+    spark.catalog.refreshTable(table)
+    for old in former:
+        _remove_folder(spark, old)
+
+
+def _location(spark: SparkSession, table: str, partition: str = "") -> str:
+    told = spark.sql(f"DESCRIBE FORMATTED {table} {partition}")
+    return told.filter("col_name = 'Location'").collect()[0]["data_type"].rstrip("/")
+
+
+def _remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def upsert_stream(

@@ -92,6 +92,21 @@ def test_label_off_the_grid(spark, one_per_moment):
         assert label == pytest.approx(wanted[s, t])
 
 
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), 1e300])
+def test_an_odd_value_stays_in_its_own_labels(spark, odd):
+    rows = [(1, START + timedelta(minutes=5 * i), odd if i == 100 else float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "station_id bigint, ts timestamp, bikes double")
+    forms = [
+        {r.ts: r.label for r in label_ahead(df, tol_s=300, one_per_moment=one).collect()}
+        for one in (True, False)
+    ]
+    for t, label in forms[0].items():
+        other = forms[1][t]
+        assert label == other or (label != label and other != other) or label == pytest.approx(other)
+    changed = [x for x in forms[1].values() if x is not None and not abs(x) < 1e6]
+    assert len(changed) == 3
+
+
 def test_label_frame_is_bounded_by_blocks(spark):
     df = spark.createDataFrame([(1, slot(0), 1)], SNAPSHOTS)
     plan = label_ahead(df)._jdf.queryExecution().executedPlan().toString()

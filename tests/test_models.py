@@ -113,13 +113,33 @@ def test_fit_line(df, data):
 
 
 def test_moments_of_parts_add_up(df):
-    parts = moments(df.withColumn("h", F.hour("ts")), ["station_id", "h"], ["a", "b"], "label")
+    parts = moments(
+        df.withColumn("h", F.hour("ts")), ["station_id"], ["a", "b"], "label", ("h",)
+    )
     whole = with_solution(add_moments(parts, ["station_id"], 2))
     got = {r.station_id: r.coefficients for r in whole.collect()}
     for r in fit_linear(df, ["station_id"], ["a", "b"]).collect():
         assert got[r.station_id] == pytest.approx(r.coefficients)
 
 
+@pytest.mark.parametrize("shift", [0.0, 1e6, 1e9])
+def test_large_values_cost_no_precision(spark, shift):
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        x = rng.gauss(0, 1)
+        rows.append((1, START + timedelta(minutes=i), shift + x, shift + 2 * x + rng.gauss(0, 0.3)))
+    frame = spark.createDataFrame(rows, "station_id bigint, ts timestamp, x double, y double")
+    line = fit_line(frame, "station_id", "x", "y").first()
+    fitted = fit_linear(frame, ["station_id"], ["x"], "y").first()
+    assert fitted.coefficients[1] == pytest.approx(line.slope, rel=1e-7)
+    found = fit_and_evaluate(temporal_split(frame), "station_id", ["x"], "y").first()
+    assert 0.05 < found.mse < 0.15 and 0.9 < found.r2 < 1
+    chunked = forward_folds(frame)
+    scores = ridge_fold_scores(chunked, "station_id", ["x"], "y", [0.0]).collect()
+    assert len(scores) == 5 and all(0.9 < r.r2 < 1 for r in scores)
+
+
 def test_fit_and_evaluate(df, data):
     split = temporal_split(df)
     got = {r.station_id: r for r in fit_and_evaluate(split, "station_id", ["a", "b"]).collect()}
