@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from snapflow.llm.token_count import byte_letters
+
 TOKENIZER = "word_bpe_49k.json"
 LENGTH = 4096
 END_ID = 2
@@ -29,7 +31,10 @@ PER_SEQUENCE, IN_DOCUMENT, IN_SENTENCE = 8, 2, 64
 #: Tokens over which cuts are chosen together; all but the last are final.
 STRETCH = 1 << 18
 #: Words whose ids a Python worker keeps, some 200 bytes each; more are encoded anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 500_000
+#: ASCII that is neither letter, digit nor white space.
+MARKS = bytes(i for i in range(33, 127) if not chr(i).isalnum())
+BYTE_LETTERS = {b: letter for letter, b in byte_letters().items()}
 
 
 class WordIds(dict):
@@ -50,18 +55,34 @@ class WordIds(dict):
         self.sentence_end[ends] = True
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        made = np.array(ids, "<u4").tobytes()
+        core = word.rstrip(MARKS)
+        if core and core != word and core[-1:].isalpha() and b"<|" not in word:
+            # Marks after a letter are a piece of their own.
+            made = self[core] + self[word[len(core) :]]
+        else:
+            made = np.array(self._encoded(word), "<u4").tobytes()
         if len(self) >= KEPT_WORDS:
             self.clear()
         if len(word) <= 64:
             self[word] = made
         return made
 
+    def _encoded(self, word: bytes) -> list[int]:
+        text = word.decode("utf-8")
+        plain = text.lower()
+        # Letters below U+0180 are in normal form and one piece, which the model takes in
+        # the letters that stand for its bytes; this spares the steps before.
+        if plain.isalpha() and max(plain) < "\u0180":
+            piece = plain.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+            return [t.id for t in self.tokenizer.model.tokenize(piece)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def document(self, text: str | None, end_id: int = END_ID) -> np.ndarray:
-        found = (text or "").encode("utf-8").split()
-        raw = b"".join(map(self.__getitem__, found))
-        return np.frombuffer(raw + int(end_id).to_bytes(4, "little"), "<u4")
+        raw = (text or "").encode("utf-8")
+        # The tokenizer lowers all letters, but not within the special strings.
+        found = (raw if b"<|" in raw else raw.lower()).split()
+        ids = b"".join(map(self.__getitem__, found))
+        return np.frombuffer(ids + int(end_id).to_bytes(4, "little"), "<u4")
 
 
 def padding(size: int, length: int = LENGTH) -> int:
