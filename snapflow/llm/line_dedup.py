@@ -123,7 +123,9 @@ def _texts(docs: DataFrame, places: DataFrame, key: str, text: str) -> DataFrame
     """The normalised lines at `places` (id, no)."""
     wanted = places.groupBy("id").agg(F.collect_set("no").alias("nos"))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = rows.join(wanted, F.col("key").eqNullSafe(wanted.id)).select("id", "text", "nos")
+    # Texts are shuffled whatever the size of the other side, which grows as they do.
+    rows = rows.hint("merge").join(wanted, F.col("key").eqNullSafe(wanted.id))
+    rows = rows.select("id", "text", "nos")
 
     def make():
         def act(ids, texts, nos):
@@ -261,7 +263,7 @@ def line_dedup(
     gone = settle(dropped_lines(docs, key, text), "dropped-lines")
     others = F.struct(*carry) if carry else F.lit(None)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), others.alias("others"))
-    joined = rows.join(gone, F.col("key").eqNullSafe(gone.id), "left")
+    joined = rows.hint("merge").join(gone, F.col("key").eqNullSafe(gone.id), "left")
     parts = F.split("text", "\n", -1)
     kept = F.filter(parts, lambda _, i: ~F.array_contains("nos", i))
     return joined.select(
