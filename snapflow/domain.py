@@ -84,10 +84,10 @@ def readings(spark: SparkSession, sf_dir: str, source: DataFrame | None = None)
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings packed as snapshot documents: one per minute, its places the stations
-    read in that minute and a bike left in the street."""
-    minute = F.date_trunc("minute", "ts")
+def documents(spark: SparkSession, sf_dir: str, unit: str = "minute") -> DataFrame:
+    """Readings packed as snapshot documents: one per minute (or `unit`), its places the
+    stations read in that time and a bike left in the street."""
+    minute = F.date_trunc(unit, "ts")
     real = (
         readings(spark, sf_dir)
         .groupBy(minute.alias("minute"), "station_id", "station_name", "lat", "lng")
@@ -122,6 +122,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_documents(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Hourly documents as JSON files, each in a folder that is named by its time; and
+    two more files, one malformed and one without a time."""
+    docs = documents(spark, sf_dir, "hour").withColumnRenamed("filename", "scraped")
+    json = docs.select(F.to_json(F.struct("countries")).alias("value"), "scraped")
+    first = json.agg(F.min("scraped").alias("scraped"))
+    broken = first.select(F.lit('{"countries": [').alias("value"), "scraped")
+    timeless = first.select(F.lit('{"countries": []}').alias("value"), F.lit("notes").alias("scraped"))
+    whole = json.unionByName(broken).unionByName(timeless)
+    whole.repartition("scraped").write.partitionBy("scraped").text(folder)
+
+
 def customer_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A larger set of places, one per customer."""
     number = F.col("c_custkey")

@@ -1,5 +1,7 @@
 """Quality of predictions, as one aggregate."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +31,23 @@ def r2_of(mse: str, spread: str) -> Column:
     return F.when(F.col(spread) > 0, 1 - F.col(mse) / F.col(spread))
 
 
-def log_runs(metrics: DataFrame, run_name: str, keys: list[str]) -> DataFrame:
-    """Metrics as rows of the runs table: run, keys, name and value of each."""
+def log_runs(
+    metrics: DataFrame,
+    run_name: str,
+    keys: list[str],
+    parameters: dict[str, float] | None = None,
+    at: datetime | None = None,
+) -> DataFrame:
+    """Metrics as rows of the runs table: run, keys, name and value of each, and the
+    run's parameters and time where they are given."""
     named = [c for c in metrics.columns if c not in keys]
     doubles = metrics.select(*keys, *[F.col(c).cast("double").alias(c) for c in named])
+    told = []
+    if parameters is not None:
+        pairs = [F.lit(x) for k, v in parameters.items() for x in (k, float(v))]
+        told.append(F.create_map(*pairs).cast("map<string, double>").alias("parameters"))
+    if at is not None:
+        told.append(F.lit(at).alias("run_at"))
     return doubles.unpivot(keys, named, "metric", "value").select(
-        F.lit(run_name).alias("run_name"), *keys, "metric", "value"
+        F.lit(run_name).alias("run_name"), *keys, "metric", "value", *told
     )

@@ -92,8 +92,7 @@ def _search(listed: DataFrame, k: int) -> DataFrame:
 
     # Each station's search is work of its own, so it is spread over all tasks first;
     # the ranking then finds its rows where they are.
-    tasks = int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probes = asking.repartition(tasks, "station_id").withColumn("gap2", F.lit(0.0))
+    probes = asking.repartition("station_id").withColumn("gap2", F.lit(0.0))
     for axis in "xyz":
         probes = (
             probes.withColumn(f"c{axis}", F.expr(f"explode(sequence(c{axis} - 2, c{axis} + 2))"))

@@ -13,8 +13,8 @@ from snapflow.operators.linear import (
 )
 from snapflow.operators.metrics import r2_of
 
-# The space that is searched, and the number of trials.
-MAX_DEPTH = (5, 50)
+# The space that is searched, up to the deepest of Spark's trees, and the number of trials.
+MAX_DEPTH = (5, 30)
 TREES = (10, 150)
 MIN_LEAF = (1, 20)
 TRIALS = 20
@@ -88,37 +88,42 @@ def search_boosted(
     parallel: int = PARALLEL_TRIALS,
     seed: int = 42,
 ) -> DataFrame:
-    """Mean r2 and rmse over forward folds of each candidate for boosted trees.
+    """r2 and rmse of each candidate for boosted trees in each forward fold: trial, fold,
+    r2, rmse. `mean_scores` and `log_runs` take them further.
 
     Trials are few, and each is a set of Spark jobs over all rows; `parallel` of
     them run at once. Folds follow `chunk`.
     """
-    from snapflow.operators.boosted import boosted_metrics, fit_boosted
+    from snapflow.operators.boosted import boosted_metrics, prepare
 
     spark = chunked.sparkSession
     rows = chunked.persist()
     trials = candidates.collect()
+    kept = [rows]
     try:
         last = rows.agg(F.max("chunk")).first()[0] or 0
+        folds = {}
+        for fold in range(1, last + 1):
+            # A fold's rows are made ready once, for all trials.
+            ready = prepare(rows.filter(F.col("chunk") < fold), xs, y)
+            ready.rows = ready.rows.persist()
+            kept.append(ready.rows)
+            folds[fold] = ready
 
         def score(trial, fold: int) -> tuple:
-            model = fit_boosted(
-                rows.filter(F.col("chunk") < fold),
-                xs,
-                y,
+            model = folds[fold].fit(
                 trees=trial["trees"],
                 max_depth=trial["max_depth"],
                 min_leaf=trial["min_leaf"],
                 seed=seed,
             )
-            tested = rows.filter(F.col("chunk") == fold)
-            found = boosted_metrics(model, tested, y).first()
+            found = boosted_metrics(model, rows.filter(F.col("chunk") == fold), y).first()
             return (trial["trial"], fold, found["r2"], found["rmse"])
 
-        work = [(t, f) for t in trials for f in range(1, last + 1)]
+        work = [(t, f) for t in trials for f in folds]
         with ThreadPoolExecutor(parallel) as pool:
             results = list(pool.map(lambda job: score(*job), work))
     finally:
-        rows.unpersist()
-    scores = spark.createDataFrame(results, "trial bigint, fold int, r2 double, rmse double")
-    return candidates.join(mean_scores(scores, ["trial"]), "trial")
+        for df in kept:
+            df.unpersist()
+    return spark.createDataFrame(results, "trial bigint, fold int, r2 double, rmse double")

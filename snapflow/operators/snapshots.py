@@ -20,17 +20,15 @@ def flatten_places(docs: DataFrame) -> DataFrame:
     """One row per real station in each document; works on streams.
 
     A document holds one country with one city. Its places include bikes left in
-    the street, which are no stations.
+    the street, which are no stations and go before the rest is spread out.
     """
-    country = F.try_element_at("countries", F.lit(1))
-    city = F.try_element_at(country["cities"], F.lit(1))
+    city = F.get(F.get("countries", F.lit(0))["cities"], F.lit(0))
+    real = F.filter(city["places"], lambda place: place["spot"] & ~place["bike"])
     carried = [c for c in docs.columns if c != "countries"]
-    return docs.select(*carried, F.explode(city["places"]).alias("place")).filter(
-        F.col("place.spot") & ~F.col("place.bike")
-    )
+    return docs.select(*carried, F.explode(real).alias("place"))
 
 
-def place_readings(places: DataFrame, since: str | None = FIRST_REGULAR_SCRAPE) -> DataFrame:
+def place_readings(places: DataFrame, since: str | None = None) -> DataFrame:
     """Flattened places as readings, timed by their file's name to the minute.
 
     Rows whose file name holds no time are left out; `untimed_rows` counts them.
@@ -59,24 +57,18 @@ def dedup_snapshots(
 ) -> DataFrame:
     """One row per station and slot, `ts` being the start of the slot.
 
-    In batch the slot's earliest reading stays, whatever the order of the input;
-    readings of one moment are told apart by a hash of their values. A stream passes on the
-    reading that arrives first, and forgets a slot once the watermark, which runs
-    on slot starts and trails by `delay`, has passed it.
+    The slot's earliest reading stays, whatever the order of the input; readings of one
+    moment are told apart by a hash of their values. A stream passes a slot on once the
+    watermark, which runs on slot starts and trails by `delay`, has reached it; so its
+    rows are those of the batch, but for the newest slots, which wait.
     """
     if since is not None:
         readings = readings.filter(F.col("ts") >= F.lit(since).cast("timestamp"))
+    slots = readings.select(slot_start("ts").alias("slot"), *SNAPSHOT_COLUMNS)
     if readings.isStreaming:
-        return (
-            readings.select(*SNAPSHOT_COLUMNS)
-            .withColumn("ts", slot_start("ts"))
-            .withWatermark("ts", delay)
-            .dropDuplicates(["station_id", "ts"])
-        )
-    return _first_in_slot(
-        readings.select(slot_start("ts").alias("slot"), *SNAPSHOT_COLUMNS),
-        [c for c in SNAPSHOT_COLUMNS if c not in ("ts", "station_id")],
-    ).select(*SNAPSHOT_COLUMNS)
+        slots = slots.withWatermark("slot", delay)
+    values = [c for c in SNAPSHOT_COLUMNS if c not in ("ts", "station_id")]
+    return _first_in_slot(slots, values).select(*SNAPSHOT_COLUMNS)
 
 
 def _first_in_slot(readings: DataFrame, values: list[str]) -> DataFrame:
@@ -85,20 +77,33 @@ def _first_in_slot(readings: DataFrame, values: list[str]) -> DataFrame:
     The order is one number, the time since the slot began and then a hash of the
     values. With numbers to pick by it, Spark aggregates in a hash map, before and
     after the shuffle; all of them come from one reading, as they share the order.
-    Text does not fit that map, so with text the values are picked as one struct.
+    Text does not fit that map. In batch its hash is picked in its place, and the few
+    distinct texts of a station are joined to it; a stream picks the values as one struct.
     """
+    texts = [name for name, kind in readings.dtypes if name in values and kind == "string"]
+    hashed = ", ".join(f"xxhash64({c})" if c in texts else c for c in values)
     order = (
         "(unix_micros(ts) - unix_micros(slot)) * 8589934592"
-        f" + pmod(xxhash64({', '.join(values)}), 8589934592)"
+        f" + pmod(xxhash64({hashed}), 8589934592)"
+    )
+    ordered = readings.withColumn("_order", F.expr(order))
+    keys = ["station_id", F.col("slot").alias("ts")]
+    if texts and readings.isStreaming:
+        first = ordered.groupBy("station_id", "slot").agg(
+            F.min_by(F.struct(*values), "_order").alias("_first")
+        )
+        return first.select(*keys, *[f"_first.{c}" for c in values])
+    coded = ordered.withColumns({c: F.xxhash64(c) for c in texts})
+    first = coded.groupBy("station_id", "slot").agg(
+        *[F.min_by(c, "_order").alias(c) for c in values]
     )
-    ordered = readings.withColumn("_order", F.expr(order)).groupBy("station_id", "slot")
-    if "string" in {kind for name, kind in readings.dtypes if name in values}:
-        first = ordered.agg(F.min_by(F.struct(*values), "_order").alias("_first"))
-        picked = [f"_first.{c}" for c in values]
-    else:
-        first = ordered.agg(*[F.min_by(c, "_order").alias(c) for c in values])
-        picked = values
-    return first.select("station_id", F.col("slot").alias("ts"), *picked)
+    for c in texts:
+        known = readings.select("station_id", c).distinct()
+        known = known.select("station_id", F.xxhash64(c).alias("_code"), F.col(c).alias("_text"))
+        same = first["station_id"].eqNullSafe(known["station_id"]) & (first[c] == known["_code"])
+        others = [first[x].alias(x) for x in first.columns if x != c]
+        first = first.join(known, same).select(*others, F.col("_text").alias(c))
+    return first.select(*keys, *values)
 
 
 def slot_counts(readings: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:

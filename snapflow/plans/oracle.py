@@ -156,7 +156,24 @@ CTES = {
                    - INTERVAL '30 minutes'""",
 }
 
+CTES["hourly"] = """
+        SELECT date_trunc('hour', ts) AS ts, station_id, station_name, lat, lng,
+               max(bikes) AS bikes, bool_or(maintenance) AS maintenance
+        FROM readings GROUP BY ALL"""
+# A renamed station has two readings in its hour; the hash that then decides has no SQL,
+# and no renaming falls inside an hour of the tables.
+CTES["chain_slots"] = """
+        SELECT * FROM hourly WHERE ts <= (SELECT max(ts) FROM hourly) - INTERVAL '30 minutes'"""
+CTES["chain_met"] = CTES["met"].replace("snapshots", "chain_slots")
+CTES["chain_neighbours"] = CTES["neighbours"].replace("FROM met", "FROM chain_met")
+CTES["chain_gold"] = CTES["gold"].replace("FROM neighbours", "FROM chain_neighbours")
+
 NEEDS = {
+    "hourly": ["readings"],
+    "chain_slots": ["hourly"],
+    "chain_met": ["chain_slots", "closest", "pairs"],
+    "chain_neighbours": ["chain_met"],
+    "chain_gold": ["chain_neighbours"],
     "readings": ["facts", "places"],
     "ranked": ["readings"],
     "snapshots": ["ranked"],
@@ -469,7 +486,65 @@ ORACLE: dict[str, str] = {
         """SELECT station_id, ts, bikes, maintenance FROM snapshots WHERE station_id = 21""",
         "snapshots",
     ),
-    "stream_dedup": _sql("SELECT station_id, ts FROM snapshots", "snapshots"),
+    "stream_dedup": _sql(
+        """SELECT ts, station_id, bikes, maintenance, station_name, round(lat, 5) AS lat,
+                  round(lng, 5) AS lng FROM settled_slots""",
+        "settled_slots",
+    ),
+    "json_readings": _sql(
+        """SELECT ts, station_id, bikes, maintenance, station_name, round(lat, 5) AS lat,
+                  round(lng, 5) AS lng FROM hourly""",
+        "hourly",
+    ),
+    "json_bad_documents": """
+        SELECT strftime(date_trunc('hour', min(ts)), '%Y-%m-%dT%H-%M-%SZ.json') AS filename,
+               '{"countries": [' AS corrupt_document FROM events
+        UNION ALL SELECT 'notes', NULL""",
+    "chain_snapshots": _sql(
+        """SELECT ts, station_id, bikes, maintenance, station_name, round(lat, 5) AS lat,
+                  round(lng, 5) AS lng FROM chain_slots""",
+        "chain_slots",
+    ),
+    "chain_gold": _sql("SELECT * FROM chain_gold", "chain_gold"),
+    "chain_labels": _sql(
+        """SELECT g.station_id, g.ts, l.bikes::DOUBLE AS label FROM chain_gold g
+           LEFT JOIN chain_gold l
+           ON l.station_id = g.station_id AND l.ts = g.ts + INTERVAL '4 hours'""",
+        "chain_gold",
+    ),
+    "chain_forecasts": _sql(
+        """SELECT station_id, ts, ts + INTERVAL '4 hours' AS prediction_valid
+           FROM chain_gold WHERE ts = (SELECT max(ts) FROM chain_gold)
+           AND close_bikes_5 IS NOT NULL AND station_id IN (
+               SELECT g.station_id FROM chain_gold g JOIN chain_gold l
+               ON l.station_id = g.station_id AND l.ts = g.ts + INTERVAL '4 hours'
+               WHERE g.close_bikes_5 IS NOT NULL)""",
+        "chain_gold",
+    ),
+    "linear_models": _sql(
+        """SELECT station_id, count(*) AS row_count, 0.0::DOUBLE AS rest_bikes,
+                  0.0::DOUBLE AS rest_weekday, 0.0::DOUBLE AS rest_hour,
+                  0.0::DOUBLE AS rest_tenminute, 0.0::DOUBLE AS rest_sum
+           FROM gold JOIN known USING (station_id, ts)
+           WHERE gold.bikes IS NOT NULL AND close_bikes_5 IS NOT NULL GROUP BY station_id""",
+        "gold",
+        "known",
+    ),
+    "boosted_reloaded": _sql(
+        """SELECT station_id, ts, ts + INTERVAL '4 hours' AS prediction_valid,
+                  0.0::DOUBLE AS difference
+           FROM gold WHERE bikes IS NOT NULL AND close_bikes_5 IS NOT NULL""",
+        "gold",
+    ),
+    "table_modes": _sql("SELECT station_id, ts, bikes, maintenance FROM snapshots", "snapshots"),
+    "overwritten_table": _sql(
+        "SELECT station_id, ts, bikes, maintenance FROM snapshots", "snapshots"
+    ),
+    "rows_at": _sql(
+        """SELECT station_id, ts, bikes, maintenance FROM snapshots
+           WHERE station_id = 21 AND ts = TIMESTAMP '2024-01-10 12:00:00'""",
+        "snapshots",
+    ),
     "stream_stations": _sql(
         """SELECT DISTINCT station_id, station_name, round(lat, 5) AS lat, round(lng, 5) AS lng,
                   TRY_CAST(substr(station_name, 1, 2) AS INTEGER) AS district FROM readings""",

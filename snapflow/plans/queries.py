@@ -9,10 +9,15 @@ from snapflow import domain
 from snapflow.functions.times import calendar_columns, scrape_time, slot_start
 from snapflow.operators import checks
 from snapflow.operators.asof import asof_join
-from snapflow.operators.boosted import boosted_station_metrics, fit_boosted
+from snapflow.operators.boosted import (
+    TUNED_TREES,
+    boosted_champion,
+    evaluate_and_refit_boosted,
+    register_boosted,
+)
 from snapflow.operators.features import gold_features, neighbour_bikes
-from snapflow.operators.labels import label_ahead, label_table, labelled_gold, training_set
-from snapflow.operators.linear import fit_and_evaluate, fit_line, fit_linear
+from snapflow.operators.labels import feature_columns, label_ahead, label_table, labelled_gold, training_set
+from snapflow.operators.linear import fit_and_evaluate, fit_line, fit_linear, linear_value
 from snapflow.operators.metrics import log_runs, regression_metrics
 from snapflow.operators.models import (
     champions,
@@ -25,9 +30,7 @@ from snapflow.operators.nearest import nearest_k, station_distances, with_closes
 from snapflow.operators.search import (
     best_candidate,
     mean_scores,
-    random_candidates,
     ridge_fold_scores,
-    search_boosted,
 )
 from snapflow.operators.snapshots import (
     dedup_snapshots,
@@ -35,19 +38,31 @@ from snapflow.operators.snapshots import (
     flatten_places,
     place_readings,
     slot_counts,
+    untimed_rows,
 )
 from snapflow.operators.splits import forward_folds, hash_split, temporal_split
 from snapflow.operators.stations import station_catalogue, station_rows
-from snapflow.sources.readers import key_history
+from snapflow.schema import DOCUMENT, READING_DOCUMENT
+from snapflow.sources.readers import (
+    corrupt_documents,
+    key_history,
+    read_snapshots,
+    read_table,
+    read_table_stream,
+    rows_at,
+)
 from snapflow.sources.tables import (
+    append_rows,
     create_feature_table,
+    create_table,
     merge_rows,
+    overwrite_table,
     settle,
     shared_folder,
     upsert,
     with_partition_date,
 )
-from snapflow.streaming.jobs import run_to_folder
+from snapflow.streaming.jobs import Job, run_all, run_models, run_to_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -345,12 +360,23 @@ def q_linear_holdout_metrics(spark, sf):
 
 
 def q_linear_models(spark, sf):
-    """All features at once; one row per station and coefficient."""
-    split = temporal_split(settle(training_rows(spark, sf)))
-    found = fit_and_evaluate(split, "station_id", FEATURES)
-    return found.select(
-        "station_id", "r2", "rmse", F.posexplode("coefficients").alias("place", "coefficient")
+    """All features at once: what a fit on all rows leaves. Its residuals sum to 0, and so
+    do their products with each feature, over the rows of each station."""
+    rows = settle(training_rows(spark, sf))
+    split = temporal_split(rows)
+    xs = feature_columns(rows)
+    models = settle(fit_and_evaluate(split, "station_id", xs), "models")
+    joined = rows.join(models.select("station_id", "coefficients"), "station_id")
+    rest = joined.withColumn("rest", F.col("label") - linear_value(xs))
+    sums = rest.groupBy("station_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[
+            (F.round(F.sum(F.col("rest") * F.col(x)), 4) + 0.0).alias(f"rest_{x}")
+            for x in ["bikes", "weekday", "hour", "tenminute"]
+        ],
+        (F.round(F.sum("rest"), 4) + 0.0).alias("rest_sum"),
     )
+    return sums
 
 
 def _fold_scores(spark, sf):
@@ -411,32 +437,44 @@ def q_runs_log(spark, sf):
     return rounded(log_runs(found, "persistence", ["station_id"]), 4, "value")
 
 
+_BOOSTED: dict[tuple[str, str], tuple] = {}
+
+
+def _boosted(spark, sf):
+    """The tuned trees, tested on the last fifth and refitted on all rows, and the rows
+    they forecast; fitted once for the queries of an application that look at it."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _BOOSTED:
+        features = settle(gold(spark, sf), "gold")
+        rows = training_set(features, label_table(features))
+        split = settle(temporal_split(settle(rows)), "split")
+        quality, model = evaluate_and_refit_boosted(split, FEATURES)
+        _BOOSTED[at] = (quality, model, features.na.drop(how="any"))
+    return _BOOSTED[at]
+
+
 def q_boosted_trees(spark, sf):
-    split = settle(temporal_split(settle(training_rows(spark, sf))))
-    model = fit_boosted(
-        split.filter("is_train"), FEATURES, trees=10, max_depth=5, min_leaf=14
-    )
-    return boosted_station_metrics(model, split.filter("not is_train"))
+    return _boosted(spark, sf)[0]
 
 
 def q_boosted_predictions(spark, sf):
-    features = settle(gold(spark, sf), "gold")
-    rows = settle(training_set(features, label_table(features)))
-    model = fit_boosted(rows, FEATURES, trees=10, max_depth=5, min_leaf=14)
-    scored = model.predict(features.na.drop(how="any"))
-    return with_validity(scored.select("station_id", "ts", "prediction"))
-
-
-def q_boosted_search(spark, sf):
-    """Two of the trials of the space, cut to small trees."""
-    chunked = forward_folds(settle(training_rows(spark, sf)), folds=2)
-    trials = random_candidates(spark, trials=2).select(
-        "trial",
-        F.least("max_depth", F.lit(3)).alias("max_depth"),
-        F.least("trees", F.lit(3)).alias("trees"),
-        "min_leaf",
+    _, model, features = _boosted(spark, sf)
+    return with_validity(model.predict(features).select("station_id", "ts", "prediction"))
+
+
+def q_boosted_reloaded(spark, sf):
+    """Forecasts of the champion, loaded from where it was registered, less those of the
+    model in memory."""
+    quality, model, features = _boosted(spark, sf)
+    models = settle(register_boosted(spark, model, quality, "boosted", trees=TUNED_TREES))
+    again = boosted_champion(spark, models, "boosted")
+    both = again.predict(model.predict(features).withColumnRenamed("prediction", "before"))
+    return with_validity(both).select(
+        "station_id",
+        "ts",
+        "prediction_valid",
+        (F.col("prediction") - F.col("before")).alias("difference"),
     )
-    return search_boosted(chunked, FEATURES, "label", trials)
 
 
 # Checks and lookups
@@ -460,10 +498,9 @@ def q_one_station_history(spark, sf):
 
 def q_stream_dedup(spark, sf):
     source = domain.readings(spark, sf, domain.event_stream(spark, sf))
-    kept = dedup_snapshots(source, DELAY).select("station_id", "station_name", "ts")
-    return run_to_folder(kept, "stream_dedup", shared_folder(spark, "stream")).select(
-        "station_id", "ts"
-    )
+    kept = dedup_snapshots(source, DELAY)
+    found = run_to_folder(kept, "stream_dedup", shared_folder(spark, "stream"))
+    return rounded(found, 5, "lat", "lng")
 
 
 def q_stream_stations(spark, sf):
@@ -486,6 +523,93 @@ def q_stream_gold(spark, sf):
     return run_to_folder(features, "stream_gold", shared_folder(spark, "stream"))
 
 
+# From JSON files to gold, labels and forecasts
+
+
+def _json_folder(spark, sf):
+    folder = shared_folder(spark, "json")
+    domain.write_documents(spark, sf, folder)
+    return folder
+
+
+def q_json_readings(spark, sf):
+    """Documents read from JSON files with the whole schema."""
+    docs = read_snapshots(spark, _json_folder(spark, sf), DOCUMENT, folders=True)
+    return rounded(place_readings(flatten_places(docs)), 5, "lat", "lng")
+
+
+def q_json_bad_documents(spark, sf):
+    docs = settle(
+        read_snapshots(
+            spark, _json_folder(spark, sf), READING_DOCUMENT, folders=True, corrupt=True
+        ),
+        "parsed",
+    )
+    return corrupt_documents(docs).unionByName(
+        untimed_rows(docs).withColumn("corrupt_document", F.lit(None).cast("string"))
+    )
+
+
+_CHAINS: dict[tuple[str, str], Job] = {}
+
+
+def _chain(spark, sf) -> Job:
+    """The chain of streams over the JSON files, in tables of its own; run once for the
+    queries of an application that look at it."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _CHAINS:
+        folder = shared_folder(spark, "chain")
+        job = Job("chain_" + folder[-32:], f"{folder}/checkpoints", since=None, folders=True)
+        run_all(spark, job, _json_folder(spark, sf))
+        run_models(spark, job)
+        _CHAINS[at] = job
+    return _CHAINS[at]
+
+
+def q_chain_snapshots(spark, sf):
+    found = spark.table(_chain(spark, sf).table("snapshots_silver")).drop("date")
+    return rounded(found, 5, "lat", "lng")
+
+
+def q_chain_gold(spark, sf):
+    return spark.table(_chain(spark, sf).table("gold")).drop("date")
+
+
+def q_chain_labels(spark, sf):
+    return spark.table(_chain(spark, sf).table("label")).drop("date")
+
+
+def q_chain_forecasts(spark, sf):
+    """Stations and times of the current forecasts at the end of the chain."""
+    found = spark.table(_chain(spark, sf).table("current_predictions"))
+    return found.select("station_id", "ts", "prediction_valid")
+
+
+# Tables in other ways
+
+
+def q_table_modes(spark, sf):
+    """A table that is made, appended to, and read as a stream."""
+    slots = fact_slots(spark, sf)
+    name = "modes_" + shared_folder(spark, "modes")[-32:]
+    create_table(slots.filter("station_id % 2 = 0"), name)
+    append_rows(slots.filter("station_id % 2 = 1"), name)
+    stream = read_table_stream(spark, name)
+    return run_to_folder(stream, "table_modes", shared_folder(spark, "stream"))
+
+
+def q_overwritten_table(spark, sf):
+    slots = fact_slots(spark, sf)
+    name = "written_" + shared_folder(spark, "written")[-32:]
+    overwrite_table(slots.limit(10), name)
+    overwrite_table(slots, name)
+    return read_table(spark, name)
+
+
+def q_rows_at(spark, sf):
+    return rows_at(fact_slots(spark, sf), "station_id", 21, "ts", "2024-01-10 12:00:00")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: query for name, query in list(globals().items()) if name.startswith("q_")
 }

@@ -77,6 +77,11 @@ def overwrite_table(df: DataFrame, table: str, partition_by: str | None = None)
     writer.saveAsTable(table)
 
 
+def append_rows(df: DataFrame, table: str) -> None:
+    """Append to `table`, which is made if it does not exist."""
+    df.write.mode("append").saveAsTable(table)
+
+
 def create_table(df: DataFrame, table: str, mode: str = "error") -> None:
     """Write a table that does not exist yet; `mode` says what to do if it does."""
     df.write.mode(mode).saveAsTable(table)
@@ -151,7 +156,7 @@ def upsert(
     if None in touched:
         raise ValueError(f"updates without {partition_col}")
     merged = merge_rows(target.filter(F.col(partition_col).isin(touched)), updates, keys)
-    folder = f"{_location(spark, table)}/_versions/{uuid.uuid4().hex}"
+    folder = f"{table_location(spark, table)}/_versions/{uuid.uuid4().hex}"
     merged.select(*target.columns).hint("rebalance", partition_col).write.partitionBy(
         partition_col
     ).parquet(folder)
@@ -162,14 +167,15 @@ def upsert(
         if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").isEmpty():
             spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{place}'")
         else:
-            former.append(_location(spark, table, f"PARTITION ({spec})"))
+            former.append(table_location(spark, table, f"PARTITION ({spec})"))
             spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
     spark.catalog.refreshTable(table)
     for old in former:
         _remove_folder(spark, old)
 
 
-def _location(spark: SparkSession, table: str, partition: str = "") -> str:
+def table_location(spark: SparkSession, table: str, partition: str = "") -> str:
+    """The folder of a table, or of one partition of it."""
     told = spark.sql(f"DESCRIBE FORMATTED {table} {partition}")
     return told.filter("col_name = 'Location'").collect()[0]["data_type"].rstrip("/")
 

@@ -15,8 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapflow.functions.times import slot_start
 from snapflow.operators.features import gold_features
-from snapflow.operators.labels import label_table
+from snapflow.operators.labels import feature_columns, label_table, training_set
+from snapflow.operators.linear import fit_and_evaluate
+from snapflow.operators.models import champions, newest_predictions, predict, register_models
 from snapflow.operators.nearest import nearest_k
 from snapflow.operators.snapshots import (
     DEFAULT_DELAY,
@@ -24,22 +27,33 @@ from snapflow.operators.snapshots import (
     dedup_snapshots,
     flatten_places,
     place_readings,
+    untimed_rows,
 )
+from snapflow.operators.splits import temporal_split
 from snapflow.operators.stations import (
     last_descriptions,
     latest_of,
     station_rows,
     with_district,
 )
-from snapflow.schema import DOCUMENT
-from snapflow.sources.readers import read_snapshot_stream, read_table_stream
+from snapflow.schema import DOCUMENT, READING_DOCUMENT
+from snapflow.sources.readers import (
+    CORRUPT,
+    corrupt_documents,
+    read_snapshot_stream,
+    read_table_stream,
+)
 from snapflow.sources.tables import (
+    append_rows,
     append_stream,
+    create_feature_table,
     ensure_schema,
     overwrite_table,
     set_quality,
     settle,
+    table_location,
     upsert,
+    upsert_stream,
     with_partition_date,
 )
 
@@ -59,6 +73,7 @@ class Job:
     delay: str = DEFAULT_DELAY
     neighbours: int = 5
     max_files: int | None = None
+    folders: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.schema}.{name}"
@@ -70,15 +85,46 @@ class Job:
 def ingest_documents(spark: SparkSession, job: Job, path: str) -> None:
     """New files under `path` into the bronze table."""
     ensure_schema(spark, job.schema)
-    docs = read_snapshot_stream(spark, path, DOCUMENT, job.max_files)
+    docs = read_snapshot_stream(
+        spark, path, DOCUMENT, job.max_files, folders=job.folders, corrupt=True
+    )
     name = job.table("jsons_bronze")
     append_stream(docs, name, job.checkpoint("jsons_bronze"), "json_stream")
     set_quality(spark, name, "bronze", "Snapshot documents as they came, with file names")
 
 
+def bronze(spark: SparkSession, job: Job, stream: bool = True) -> DataFrame:
+    """The bronze table's file names and the fields that readings need.
+
+    Its files are read with the narrow schema, so that the scan leaves out the rest.
+    """
+    place = table_location(spark, job.table("jsons_bronze"))
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(f"{READING_DOCUMENT}, {CORRUPT} string, filename string").parquet(place)
+
+
+def note_bad_documents(spark: SparkSession, job: Job) -> None:
+    """Documents that are malformed, or whose file name holds no time, anew."""
+    docs = bronze(spark, job, stream=False)
+    untimed = untimed_rows(docs).select("filename", F.lit("no time").alias("fault"))
+    broken = corrupt_documents(docs).select("filename", F.lit("malformed").alias("fault"))
+    overwrite_table(broken.unionByName(untimed), job.table("bad_documents"))
+
+
+def note_late_readings(spark: SparkSession, job: Job) -> None:
+    """Stations and slots that the stream of snapshots dropped as too late, anew."""
+    readings = place_readings(flatten_places(bronze(spark, job, stream=False)), job.since)
+    slots = readings.select("station_id", slot_start("ts").alias("ts")).distinct()
+    kept = spark.table(job.table("snapshots_silver"))
+    # Slots after the newest that was passed on still wait for the watermark.
+    newest = kept.agg(F.max("ts").alias("newest"))
+    passed = slots.join(newest, F.col("ts") <= F.col("newest"), "left_semi")
+    overwrite_table(late_rows(passed, kept), job.table("late_readings"))
+
+
 def refine_snapshots(spark: SparkSession, job: Job) -> None:
     """New documents into snapshots, partitioned by date."""
-    docs = read_table_stream(spark, job.table("jsons_bronze"))
+    docs = bronze(spark, job)
     readings = place_readings(flatten_places(docs), job.since)
     dated = with_partition_date(dedup_snapshots(readings, job.delay), "date", "ts")
     name = job.table("snapshots_silver")
@@ -133,13 +179,13 @@ def update_catalogue(spark: SparkSession, job: Job) -> None:
 def build_gold(spark: SparkSession, job: Job) -> None:
     """New snapshots into feature rows.
 
-    The newest slots wait for the watermark. It trails as far as that of the
-    snapshots does, so a late snapshot that they took in is not lost here.
+    The stream of snapshots passes slots on in order, each whole, so that no delay is
+    needed here.
     """
     snapshots = (
         read_table_stream(spark, job.table("snapshots_silver"))
         .select("station_id", "ts", "bikes")
-        .withWatermark("ts", job.delay)
+        .withWatermark("ts", "0 seconds")
     )
     nearest = spark.table(job.table("stations_with_closest"))
     gold = with_partition_date(
@@ -151,16 +197,82 @@ def build_gold(spark: SparkSession, job: Job) -> None:
 
 
 def build_labels(spark: SparkSession, job: Job) -> None:
-    """Labels of all gold rows, anew."""
-    overwrite_table(label_table(spark.table(job.table("gold"))), job.table("label"))
+    """Labels of gold rows: of the dates of new gold and of those that look ahead to them."""
+    gold = spark.table(job.table("gold"))
+    name = job.table("label")
+    if not spark.catalog.tableExists(name):
+        create_feature_table(label_table(gold), name, ["station_id", "ts"])
+        return
+    known = spark.table(name).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    fresh = gold.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    grown = fresh.join(known, ["date", "n"], "left_anti").agg(F.min("date")).first()[0]
+    if grown is None:
+        return
+    # A day's last labels look into the next day.
+    since = F.date_sub(F.lit(grown), 1)
+    labels = with_partition_date(label_table(gold.filter(F.col("date") >= since)), "date", "ts")
+    upsert(spark, name, labels, ["station_id", "ts"])
+
+
+def build_features(spark: SparkSession, job: Job) -> None:
+    """New gold rows into the keyed feature table."""
+    name = job.table("features")
+    gold = spark.table(job.table("gold"))
+    if not spark.catalog.tableExists(name):
+        create_feature_table(gold.drop("date").limit(0), name, ["station_id", "ts"])
+    upsert_stream(
+        read_table_stream(spark, job.table("gold")),
+        name,
+        ["station_id", "ts"],
+        job.checkpoint("features"),
+        "features_stream",
+    )
+
+
+def train_models(spark: SparkSession, job: Job) -> None:
+    """A new version of each station's model, from all features and labels."""
+    labels = spark.table(job.table("label")).drop("date")
+    rows = settle(training_set(spark.table(job.table("features")).drop("date"), labels), "training")
+    fitted = fit_and_evaluate(temporal_split(rows), "station_id", feature_columns(rows))
+    name = job.table("models")
+    known = spark.table(name) if spark.catalog.tableExists(name) else None
+    append_rows(settle(register_models(fitted, known), "models"), name)
+
+
+def forecast(spark: SparkSession, job: Job) -> None:
+    """The champions' forecasts from the newest features: appended to all predictions,
+    and in place of the current ones."""
+    features = spark.table(job.table("features"))
+    day = features.agg(F.max("date")).first()[0]
+    newest = newest_predictions(features.filter(F.col("date") == F.lit(day))).drop("date")
+    models = settle(champions(spark.table(job.table("models"))), "champions")
+    xs = feature_columns(newest)
+    made = settle(predict(newest, models, xs), "predictions")
+    name = job.table("predictions")
+    if spark.catalog.tableExists(name):
+        known = spark.table(name).select("station_id", "ts")
+        append_rows(made.join(known, ["station_id", "ts"], "left_anti"), name)
+    else:
+        append_rows(made, name)
+    overwrite_table(made, job.table("current_predictions"))
 
 
 def run_all(spark: SparkSession, job: Job, path: str) -> None:
+    """From new documents to gold and labels."""
     ingest_documents(spark, job, path)
     refine_snapshots(spark, job)
     refine_stations(spark, job)
     build_gold(spark, job)
     build_labels(spark, job)
+    note_bad_documents(spark, job)
+    note_late_readings(spark, job)
+
+
+def run_models(spark: SparkSession, job: Job) -> None:
+    """From gold and labels to models and current forecasts."""
+    build_features(spark, job)
+    train_models(spark, job)
+    forecast(spark, job)
 
 
 def run_to_folder(df: DataFrame, name: str, folder: str) -> DataFrame:

@@ -5,7 +5,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from snapflow.operators.boosted import boosted_metrics, boosted_station_metrics, fit_boosted
+from snapflow.operators.boosted import (
+    boosted_champion,
+    boosted_metrics,
+    boosted_station_metrics,
+    evaluate_and_refit_boosted,
+    fit_boosted,
+    register_boosted,
+)
 from snapflow.operators.linear import (
     add_moments,
     fit_and_evaluate,
@@ -233,7 +240,35 @@ def test_boosted_search(df):
     trials = df.sparkSession.createDataFrame(
         [(0, 1, 1, 1), (1, 4, 5, 2)], "trial bigint, max_depth int, trees int, min_leaf int"
     )
-    found = search_boosted(forward_folds(df, folds=2), ["a", "b"], "label", trials)
+    scores = search_boosted(forward_folds(df, folds=2), ["a", "b"], "label", trials)
+    assert {(r.trial, r.fold) for r in scores.collect()} == {(t, f) for t in (0, 1) for f in (1, 2)}
+    found = mean_scores(scores, ["trial"])
     rows = {r.trial: r for r in found.collect()}
     assert rows[1].folds == 2 and rows[1].rmse < rows[0].rmse
     assert best_candidate(found, [], "trial").first().trial == 1
+
+
+def test_boosted_models_are_saved_versioned_and_reloaded(spark, df):
+    split = temporal_split(df)
+    tuned = {"trees": 5, "max_depth": 4, "min_leaf": 2}
+    quality, model = evaluate_and_refit_boosted(split, ["a", "b"], **tuned)
+    assert quality.count() == 3
+    first = register_boosted(spark, model, quality, "m", **tuned)
+    second = register_boosted(spark, fit_boosted(df, ["a"], trees=1), quality, "m", first, trees=1)
+    known = first.unionByName(second)
+    assert [(r.version, r.parameters["trees"]) for r in known.orderBy("version").collect()] == [(1, 5.0), (2, 1.0)]
+    again = boosted_champion(spark, known.filter("version = 1"), "m")
+    keys = ["station_id", "ts"]
+    before, after = ({tuple(r[k] for k in keys): r.prediction for r in m.predict(df).collect()} for m in (model, again))
+    assert before == after and len(before) == df.count()
+    assert boosted_champion(spark, known, "m").assembler.getInputCols() == ["a", "station_level"]
+    with pytest.raises(ValueError):
+        fit_boosted(df, ["a"], max_depth=31)
+    with pytest.raises(ValueError):
+        boosted_champion(spark, known, "other")
+
+
+def test_runs_with_parameters_and_time(spark):
+    found = spark.createDataFrame([(1, 0.5)], "k int, r2 double")
+    row = log_runs(found, "run", ["k"], {"trees": 3}, START).first()
+    assert (row.metric, row.value, row.parameters, row.run_at) == ("r2", 0.5, {"trees": 3.0}, START)

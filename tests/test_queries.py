@@ -9,7 +9,7 @@ SMALL = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no driver tables here")
 
-SLOW = {"boosted_trees", "boosted_predictions", "boosted_search", "linear_models"}
+
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def db():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_its_sql(spark, db, name):
     rows = queries()[name](spark, SMALL).toPandas()
     assert len(rows.columns) == len(set(rows.columns))

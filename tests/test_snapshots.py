@@ -4,6 +4,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from snapflow.operators.snapshots import (
+    FIRST_REGULAR_SCRAPE,
     dedup_snapshots,
     first_scrape_per_slot,
     flatten_places,
@@ -68,7 +69,7 @@ def test_documents_to_readings(spark, tmp_path):
     for schema in (DOCUMENT, READING_DOCUMENT, None):
         docs = read_snapshots(spark, path, schema)
         assert docs.count() == 6
-        readings = place_readings(flatten_places(docs))
+        readings = place_readings(flatten_places(docs), FIRST_REGULAR_SCRAPE)
         got = sorted((r.ts, r.station_id, r.bikes) for r in readings.collect())
         assert got == [
             (datetime(2024, 3, 14, 1, 30), 2100, 3),
@@ -126,8 +127,14 @@ def test_dedup_takes_all_columns_from_one_reading(spark):
         "station_name <> bikes OR lat <> bikes / 10 OR maintenance <> (bikes % 2 = 0)"
     )
     assert mixed.count() == 0
-    plan = slot_counts(df)._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    for found in (slot_counts(df), dedup_snapshots(df)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_dedup_keeps_null_names(spark):
+    df = readings_frame(spark, ROWS).withColumn("station_name", F.lit(None).cast("string"))
+    assert dedup_snapshots(df).filter("station_name is null").count() == 3
 
 
 def test_first_scrape_keeps_all_its_rows(spark):

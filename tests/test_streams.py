@@ -12,9 +12,19 @@ from snapflow.operators.snapshots import dedup_snapshots, flatten_places, place_
 from snapflow.operators.stations import station_catalogue, station_rows
 from snapflow.schema import DOCUMENT
 from snapflow.sources.readers import read_snapshot_stream, read_snapshots
-from snapflow.sources.tables import create_feature_table, upsert_stream, with_partition_date
-from snapflow.streaming.jobs import Job, build_gold, ingest_documents, late_rows, refine_snapshots
-from snapflow.streaming.jobs import refine_stations, run_all, run_to_folder
+from snapflow.sources.tables import create_feature_table, settle, upsert_stream, with_partition_date
+from snapflow.streaming.jobs import (
+    Job,
+    bronze,
+    build_gold,
+    ingest_documents,
+    note_late_readings,
+    refine_snapshots,
+    refine_stations,
+    run_all,
+    run_models,
+    run_to_folder,
+)
 
 START = datetime(2024, 3, 14)
 
@@ -43,14 +53,22 @@ def batch_snapshots(spark, path):
     return dedup_snapshots(place_readings(flatten_places(read_snapshots(spark, path, DOCUMENT))))
 
 
+def before(df, slots):
+    return df.filter(F.col("ts") < F.lit(START + timedelta(minutes=10 * slots)))
+
+
 def test_chain_equals_batch_and_resumes(spark, tmp_path, folder):
     path = write_documents(folder, dict(scrape(n) for n in range(30)))
+    (folder / "notes.json").write_text("{}")
+    (folder / "2024-03-14T00-05-00Z.json").write_text('{"countries": [')
     job = Job(schema="chain_db", checkpoints=str(tmp_path / "ck"), max_files=7)
     run_all(spark, job, path)
     run_all(spark, job, path)  # nothing new, nothing twice
+    gold = None
 
-    def check(gold_slots):  # the slots from the watermark on wait
-        snapshots = batch_snapshots(spark, path)
+    def check(slots, known_slots):  # the slots from the watermark on wait
+        nonlocal gold
+        snapshots = before(batch_snapshots(spark, path), slots)
         table = spark.table(job.table("snapshots_silver"))
         assert rows(table.drop("date")) == rows(snapshots)
         stations = station_rows(snapshots)
@@ -60,27 +78,51 @@ def test_chain_equals_batch_and_resumes(spark, tmp_path, folder):
         assert rows(known.drop("seen", "shard")) == rows(catalogue.drop("district"))
         nearest = nearest_k(catalogue)
         assert rows(spark.table(job.table("stations_with_closest"))) == rows(nearest)
-        if gold_slots == 31:  # gold of earlier runs keeps the neighbours of its time
-            return
-        gold = gold_features(snapshots.select("station_id", "ts", "bikes"), nearest)
-        last = START + timedelta(minutes=10 * gold_slots)
-        settled = gold.filter(F.col("ts") < F.lit(last))
-        assert rows(spark.table(job.table("gold")).drop("date")) == rows(settled)
-        assert rows(spark.table(job.table("label"))) == rows(label_table(settled))
-
-    check(27)
+        # Gold of earlier runs keeps the neighbours of its time.
+        fresh = gold_features(snapshots.select("station_id", "ts", "bikes"), nearest)
+        fresh = settle(fresh.exceptAll(before(fresh, known_slots)))
+        gold = fresh if gold is None else gold.unionByName(fresh)
+        assert rows(spark.table(job.table("gold")).drop("date")) == rows(gold)
+        assert rows(spark.table(job.table("label")).drop("date")) == rows(label_table(gold))
+
+    check(27, 0)
     write_documents(folder, dict(scrape(n, moved=0.5 * (n != 33)) for n in range(30, 34)))
     run_all(spark, job, path)
-    check(31)
-    assert spark.table(job.table("jsons_bronze")).count() == 34
+    check(31, 27)
+    assert spark.table(job.table("jsons_bronze")).count() == 36
+    bad = spark.table(job.table("bad_documents")).collect()
+    assert sorted((r.filename, r.fault) for r in bad) == [
+        ("2024-03-14T00-05-00Z.json", "malformed"), ("notes.json", "no time"),
+    ]
+    assert spark.table(job.table("late_readings")).count() == 0
     properties = spark.sql(f"SHOW TBLPROPERTIES {job.table('gold')}").collect()
     assert ("quality", "gold") in {(r.key, r.value) for r in properties}
 
+    run_models(spark, job)
+    run_models(spark, job)
+    features = spark.table(job.table("features")).drop("date")
+    assert rows(features) == rows(gold)
+    versions = spark.table(job.table("models")).groupBy("station_id").count().collect()
+    assert {r["count"] for r in versions} == {2} and len(versions) == 7
+    current = spark.table(job.table("current_predictions"))
+    newest = START + timedelta(minutes=300)
+    assert {(r.ts, r.prediction_valid) for r in current.collect()} == {(newest, newest + timedelta(hours=4))}
+    assert current.count() == 7 == spark.table(job.table("predictions")).count()
+
+
+def test_bronze_scan_reads_the_needed_fields_only(spark, tmp_path, folder):
+    path = write_documents(folder, dict(scrape(n) for n in range(3)))
+    job = Job(schema="narrow_db", checkpoints=str(tmp_path / "ck"))
+    ingest_documents(spark, job, path)
+    plan = flatten_places(bronze(spark, job, stream=False))._jdf.queryExecution().sparkPlan()
+    scan = plan.collectLeaves().head().requiredSchema().json()
+    assert "bike_list" not in scan and "terms" not in scan and "maintenance" in scan
+
 
 def test_late_scrape_within_the_delay_is_kept(spark, tmp_path, folder):
     job = Job(schema="late_db", checkpoints=str(tmp_path / "ck"), delay="30 minutes")
     path = str(folder)
-    for batch in ([0, 1, 2], [5], [4, 1], [3, 6]):
+    for batch in ([0, 1, 2], [5], [4, 1], [3, 6], [10]):
         write_documents(folder, dict(scrape(n, 2) for n in batch))
         ingest_documents(spark, job, path)
         refine_snapshots(spark, job)
@@ -95,27 +137,41 @@ def test_late_scrape_within_the_delay_is_kept(spark, tmp_path, folder):
     refine_snapshots(spark, job)
     kept = spark.table(job.table("snapshots_silver"))
     assert kept.count() == 14
-    missed = late_rows(batch_snapshots(spark, path), kept)
+    note_late_readings(spark, job)
+    missed = spark.table(job.table("late_readings"))
     assert [(r.station_id, r.ts) for r in missed.collect()] == [(3, START)]
 
 
-def test_stream_dedup_forgets_old_slots(spark, tmp_path, folder):
-    path = write_documents(folder, dict(scrape(n, 3, minute=m) for n in range(40) for m in (0, 4)))
-    docs = read_snapshot_stream(spark, path, DOCUMENT, max_files=10)
-    kept = dedup_snapshots(place_readings(flatten_places(docs)), "30 minutes")
-    query = (
-        kept.writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "ck"))
-        .trigger(availableNow=True)
-        .start(str(tmp_path / "out"))
+def test_stream_dedup_equals_batch_and_forgets(spark, tmp_path, folder):
+    """Two readings in a slot, the later of which arrives first."""
+    documents = [scrape(n, 3, minute=m, moved=m) for n in range(40) for m in (8, 4)]
+    path = str(folder)
+    kept = dedup_snapshots(
+        place_readings(flatten_places(read_snapshot_stream(spark, path, DOCUMENT, max_files=10))),
+        "30 minutes",
     )
-    query.awaitTermination()
-    state = [op for p in query.recentProgress for op in json.loads(p.json)["stateOperators"]]
+    out, state = str(tmp_path / "out"), []
+    for minute in ("8", "4"):
+        write_documents(folder, dict(d for d in documents[:6] if d[0][15] == minute))
+        state += run_once(kept, out, str(tmp_path / "ck"))
+    write_documents(folder, dict(documents))
+    state += run_once(kept, out, str(tmp_path / "ck"))
     assert sum(op["numRowsRemoved"] for op in state) > 0
     assert state[-1]["numRowsTotal"] < 40 * 3
-    assert rows(spark.read.schema(kept.schema).parquet(str(tmp_path / "out")).select("station_id", "ts")) == rows(
-        batch_snapshots(spark, path).select("station_id", "ts")
+    found = spark.read.schema(kept.schema).parquet(out)
+    assert rows(found) == rows(before(batch_snapshots(spark, path), 37))
+
+
+def run_once(df, out, checkpoint):
+    """Run a stream over what there is; the state operators' reports."""
+    query = (
+        df.writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(out)
     )
+    query.awaitTermination()
+    return [op for p in query.recentProgress for op in json.loads(p.json)["stateOperators"]]
 
 
 def test_stream_slot_counts(spark, tmp_path, folder):
