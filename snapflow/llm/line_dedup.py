@@ -242,7 +242,9 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     judged = first.unionByName(late).groupBy("mark").agg(
         F.max("near").alias("near"), F.min(F.struct("id", "no")).alias("first")
     )
-    gone = lines.join(judged, "mark").filter(
+    # Written first, so that both sides are shuffled for the join alone, and the adaptive
+    # planner may split a line that very many documents hold.
+    gone = lines.join(settle(judged, "judged-lines"), "mark").filter(
         F.col("near") | ~F.struct("id", "no").eqNullSafe(F.col("first"))
     )
     return gone.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("nos"))
