@@ -542,7 +542,7 @@ ORACLE: dict[str, str] = {
     ),
     "rows_at": _sql(
         """SELECT station_id, ts, bikes, maintenance FROM snapshots
-           WHERE station_id = 21 AND ts = TIMESTAMP '2024-01-10 12:00:00'""",
+           WHERE station_id = 1 AND ts = TIMESTAMP '2024-01-01 00:30:00'""",
         "snapshots",
     ),
     "stream_stations": _sql(

@@ -607,7 +607,7 @@ def q_overwritten_table(spark, sf):
 
 
 def q_rows_at(spark, sf):
-    return rows_at(fact_slots(spark, sf), "station_id", 21, "ts", "2024-01-10 12:00:00")
+    return rows_at(fact_slots(spark, sf), "station_id", 1, "ts", "2024-01-01 00:30:00")
 
 
 QUERIES: dict[str, Query] = {
