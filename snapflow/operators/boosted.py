@@ -69,9 +69,14 @@ def evaluate_and_refit_boosted(
     split: DataFrame, xs: list[str], y: str = "label", key: str = "station_id", **parameters
 ) -> tuple[DataFrame, BoostedModel]:
     """Quality per station of a model of the training rows (`is_train`) on the others,
-    and the model of all rows."""
-    first = fit_boosted(split.filter("is_train"), xs, y, key, **parameters)
-    quality = settle(boosted_station_metrics(first, split.filter("not is_train"), y), "quality")
+    and the model of all rows. Without training rows there is no quality."""
+    train, test = split.filter("is_train"), split.filter("not is_train")
+    if train.isEmpty():
+        unknown = test.limit(0).withColumn("prediction", F.lit(None).cast("double"))
+        quality = regression_metrics(unknown, [key], y, "prediction")
+    else:
+        first = fit_boosted(train, xs, y, key, **parameters)
+        quality = settle(boosted_station_metrics(first, test, y), "quality")
     return quality, fit_boosted(split, xs, y, key, **parameters)
 
 
@@ -156,6 +161,8 @@ def prepare(
     """`train`, whose columns `xs` and `y` hold no nulls, ready to be fitted on."""
     levels = settle(train.groupBy(key).agg(F.avg(y).alias("station_level")), "levels")
     overall = train.agg(F.avg(y)).first()[0]
+    if overall is None:
+        raise ValueError("no rows to learn from")
     assembler = VectorAssembler(inputCols=[*xs, "station_level"], outputCol="features")
     ready = assembler.transform(_with_level(train, levels, overall, key))
     rows = ready.select(F.col(y).cast("double").alias(y), "features")

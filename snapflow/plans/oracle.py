@@ -533,8 +533,11 @@ ORACLE: dict[str, str] = {
     "boosted_reloaded": _sql(
         """SELECT station_id, ts, ts + INTERVAL '4 hours' AS prediction_valid,
                   0.0::DOUBLE AS difference
-           FROM gold WHERE bikes IS NOT NULL AND close_bikes_5 IS NOT NULL""",
+           FROM gold WHERE bikes IS NOT NULL AND close_bikes_5 IS NOT NULL AND EXISTS (
+               SELECT 1 FROM gold g JOIN known USING (station_id, ts)
+               WHERE g.bikes IS NOT NULL AND g.close_bikes_5 IS NOT NULL)""",
         "gold",
+        "known",
     ),
     "table_modes": _sql("SELECT station_id, ts, bikes, maintenance FROM snapshots", "snapshots"),
     "overwritten_table": _sql(

@@ -448,8 +448,13 @@ def _boosted(spark, sf):
         features = settle(gold(spark, sf), "gold")
         rows = training_set(features, label_table(features))
         split = settle(temporal_split(settle(rows)), "split")
-        quality, model = evaluate_and_refit_boosted(split, FEATURES)
-        _BOOSTED[at] = (quality, model, features.na.drop(how="any"))
+        if split.isEmpty():  # nothing is learned, and nothing forecast
+            nothing = split.limit(0).withColumn("prediction", F.lit(0.0))
+            quality = regression_metrics(nothing, ["station_id"], "label", "prediction")
+            _BOOSTED[at] = (quality, None, features.limit(0))
+        else:
+            quality, model = evaluate_and_refit_boosted(split, FEATURES)
+            _BOOSTED[at] = (quality, model, features.na.drop(how="any"))
     return _BOOSTED[at]
 
 
@@ -459,6 +464,8 @@ def q_boosted_trees(spark, sf):
 
 def q_boosted_predictions(spark, sf):
     _, model, features = _boosted(spark, sf)
+    if model is None:
+        return with_validity(features.select("station_id", "ts", F.lit(0.0).alias("prediction")))
     return with_validity(model.predict(features).select("station_id", "ts", "prediction"))
 
 
@@ -466,6 +473,11 @@ def q_boosted_reloaded(spark, sf):
     """Forecasts of the champion, loaded from where it was registered, less those of the
     model in memory."""
     quality, model, features = _boosted(spark, sf)
+    if model is None:
+        known = features.select("station_id", "ts", F.lit(0.0).alias("prediction"))
+        return with_validity(known).select(
+            "station_id", "ts", "prediction_valid", F.col("prediction").alias("difference")
+        )
     models = settle(register_boosted(spark, model, quality, "boosted", trees=TUNED_TREES))
     again = boosted_champion(spark, models, "boosted")
     both = again.predict(model.predict(features).withColumnRenamed("prediction", "before"))
