@@ -194,7 +194,12 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that hold the least id of their component, one for each."""
-    judged = settle(simhash(docs, key, text), "components")
+    return keep_heads(docs, simhash(docs, key, text), key)
+
+
+def keep_heads(docs: DataFrame, judged: DataFrame, key: str) -> DataFrame:
+    """The rows of `docs` that are the least of a root in `judged` (`key`, component_id, root)."""
+    judged = settle(judged, "components")
     heads = judged.filter(F.col(key).eqNullSafe(F.col("component_id")))
     heads = heads.select(F.col(key).alias("head_id"), "root")
     kept = docs.join(heads.distinct(), F.col(key).eqNullSafe(F.col("head_id")))
