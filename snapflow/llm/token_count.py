@@ -4,9 +4,10 @@ In a byte-pair encoding the encoding of a prefix is settled by its last token: o
 vocabulary entries that end the prefix exactly one may follow the last token of what
 lies before it, namely where encoding the two together gives these two again. So
 count[i] = count[i - len(t)] + 1, from left to right, with a table per chunk of text
-between spaces. Chunks repeat, and so a table is made once and kept. A text is then a
-row of chunks with running totals, and any prefix is a total plus an entry of a table;
-nothing is encoded again.
+between spaces. Of a table only the last entry, the chunk's count, is kept, since chunks
+repeat. A text is then a row of chunks with running totals. A prefix that ends within a
+piece is a total plus the count of the pieces at its end, which are split and encoded
+again; a cut to a budget does so once per character it goes back.
 """
 
 from __future__ import annotations
