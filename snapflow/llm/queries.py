@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from snapflow.llm import decontaminate as bench
 from snapflow.llm import (
+    filter_audit,
+    hard_negatives,
     html_extract,
     language,
     line_crf,
@@ -86,6 +88,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, scale=256.0)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_language": op2_language,
@@ -97,6 +109,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 LLM_ORACLE: dict[str, str] = {}
@@ -217,3 +231,76 @@ SELECT page_id, u.host, u.path, f.rule, coalesce(f.verdict, a.verdict, 'allow')
 FROM pages p JOIN urls u ON p.url IS NOT DISTINCT FROM u.url
 LEFT JOIN fits f ON p.url = f.url LEFT JOIN aliases a ON split_part(p.url, '#', 1) = a.url
 """
+
+LLM_ORACLE["op12_filter_audit"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS copy FROM docs
+), known AS (
+  SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good,
+         max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CAST(len(w) < 100 AS INT) AS a,
+         CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INT) AS b,
+         CAST(100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) AS INT) AS c,
+         CAST(regexp_matches(text, '[#$%&*|]') AS INT) AS d,
+         CAST(copy AS INT) AS e
+  FROM split LEFT JOIN known USING (doc_id)
+), masks AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n,
+         sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT p.letter || q.letter || r.letter || s.letter || t.letter AS filter_order,
+         [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE p.bit | q.bit | r.bit | s.bit | t.bit = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (before + bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM masks, steps GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+LLM_ORACLE["op13_hard_negatives"] = r"""
+WITH fine AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.v, r.v),
+           lambda z: coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS score
+  FROM fine a JOIN fine r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                               ORDER BY score DESC, other) AS INT) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+ AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) <= 3
+"""
