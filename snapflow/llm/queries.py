@@ -15,6 +15,7 @@ from snapflow.llm import (
     language,
     line_crf,
     line_dedup,
+    odd_sketch,
     packing,
     quality_rules,
     simhash,
@@ -88,6 +89,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op11_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -109,6 +114,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op11_odd_sketch": op11_odd_sketch,
     "op12_filter_audit": op12_filter_audit,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -304,3 +310,36 @@ FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) <= 3
 """
+
+LLM_ORACLE["op11_odd_sketch"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), nodes AS (
+  SELECT array_to_string(w, ' ') AS line, min(doc_id) AS node, any_value(w) AS w
+  FROM docs WHERE len(w) > 0 GROUP BY 1
+), grams AS (
+  SELECT DISTINCT node, array_to_string(w[i:i + 4], ' ') AS gram
+  FROM (SELECT node, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM nodes)
+), sizes AS (
+  SELECT node, count(*) AS n FROM grams GROUP BY node
+), pairs AS (
+  SELECT x.node AS a, y.node AS b, count(*) AS n_both
+  FROM grams x JOIN grams y ON x.gram = y.gram AND x.node < y.node GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes s ON a = s.node JOIN sizes t ON b = t.node
+  WHERE 100 * n_both >= 85 * (s.n + t.n - n_both)
+), ways AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached(node, other) AS (
+  SELECT a, b FROM ways UNION SELECT node, b FROM reached JOIN ways ON other = a
+), roots AS (
+  SELECT node, min(other) AS other FROM reached GROUP BY node
+)
+SELECT doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles,
+       least(coalesce(n.node, doc_id), coalesce(r.other, n.node, doc_id)) AS component_id,
+       least(coalesce(n.node, doc_id), coalesce(r.other, n.node, doc_id)) = doc_id AS kept
+FROM docs d LEFT JOIN nodes n ON len(d.w) > 0 AND array_to_string(d.w, ' ') = n.line
+LEFT JOIN sizes s ON n.node = s.node LEFT JOIN roots r ON n.node = r.node
+"""
