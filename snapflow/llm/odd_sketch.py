@@ -3,13 +3,13 @@
 A text's set of five-word shingles is hashed to MinHash values in bands; texts that share
 a band's value meet in a place. There their odd sketches are compared: MinHash samples
 folded into a bitmap by parity, so that the bits in which two sketches differ tell how
-many samples differ, most precisely where few do. Pairs whose estimate allows the wanted
-similarity are decided by the sets themselves.
+many samples differ, most precisely where few do. Texts that are connected by pairs whose
+estimate allows the wanted similarity meet once more, with their sets, which decide.
 
-Texts with equal sets are one node. All pairs of a place are compared by their sketches,
-within a task, but only few are written: in each round those among the nearest of either,
-more from round to round, and none that is connected or refuted already. Larger places are
-dealt into cells anew each round; what they leave open is compared cell by cell.
+Texts with equal sets are one node. All pairs that meet are compared within a task, but
+only the edges of a forest are written, so a group costs rows as it has members. Where
+very many meet, they are dealt into cells; if the forests of the cells leave several
+components, the cells are compared with one another.
 """
 
 from __future__ import annotations
@@ -35,10 +35,8 @@ ROWS, BANDS = 6, 36
 SAMPLES, BITS = 1024, 1024
 #: Standard deviations by which an estimate may be too low: one in 3 million pairs.
 DEVIATIONS = 5.0
-#: Members of a cell; places of more are dealt into several.
-CELL = 1024
-#: The nearest neighbours of a node whose pairs are written, round by round.
-NEAREST = (4, 32, 256, 2048)
+#: Members and shingles of a cell; where more meet, they are dealt into several.
+CELL, CELL_SHINGLES = 1024, 1 << 21
 #: Rows that are compared at a time.
 PIECE = 2048
 
@@ -117,11 +115,6 @@ def most_bits(percent: int) -> int:
     return int(BITS / 2 * (1 - left) + DEVIATIONS * sqrt(by_samples**2 + max(0, by_folding))) + 1
 
 
-def similar(one: np.ndarray, other: np.ndarray, percent: int = SIMILAR) -> bool:
-    both = len(np.intersect1d(one, other, assume_unique=True))
-    return 100 * both >= percent * (len(one) + len(other) - both)
-
-
 def close_pairs(
     cells: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, sides: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,38 +141,104 @@ def close_pairs(
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def best_ranks(a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Per pair, its place, from 0, among the nearest of either row."""
-    rows, others = np.concatenate([a, b]), np.concatenate([b, a])
-    order = np.lexsort((others, np.concatenate([bits, bits]), rows))
-    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-    ranks = np.empty(len(rows), np.int64)
-    ranks[order] = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))
-    return np.minimum(ranks[: len(a)], ranks[len(a) :])
+class Groups:
+    """Rows that are connected, by union-find."""
+
+    def __init__(self, roots: np.ndarray):
+        first = {}
+        self.up = [first.setdefault(r, i) for i, r in enumerate(roots.tolist())]
+
+    def find(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        """Whether the rows were not connected before."""
+        i, j = self.find(i), self.find(j)
+        self.up[max(i, j)] = min(i, j)
+        return i != j
+
+    def labels(self) -> np.ndarray:
+        return np.fromiter(map(self.find, range(len(self.up))), np.int64, len(self.up))
 
 
-def _pairs(held: DataFrame, nearest: int | None, percent: int) -> DataFrame:
-    """Pairs (a, b) to be decided, of `held` (cell, side, node, size, sketch, root)."""
+def forest(a: np.ndarray, b: np.ndarray, bits: np.ndarray, groups: Groups) -> list[tuple[int, int]]:
+    """Pairs that connect all that the pairs connect, the closest first.
+
+    In each round every group takes its closest pair that leads out of it.
+    """
+    edges = []
+    order = np.lexsort((b, a, bits))
+    a, b = a[order], b[order]
+    while len(a):
+        labels = groups.labels()
+        ours, theirs = labels[a], labels[b]
+        out = ours != theirs
+        a, b = a[out], b[out]
+        first = [np.unique(x[out], return_index=True)[1] for x in (ours, theirs)]
+        for at in np.unique(np.concatenate(first)):
+            i, j = int(a[at]), int(b[at])
+            if groups.join(i, j):
+                edges.append((i, j))
+    return edges
+
+
+def decided(
+    a: np.ndarray, b: np.ndarray, sets: list[np.ndarray], groups: Groups, percent: int
+) -> list[tuple[int, int]]:
+    """Pairs that are similar by their sets, enough to connect all that are."""
+    edges, order = [], np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    sizes = np.array([len(s) for s in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    held = np.zeros(int(ids.max(initial=-1)) + 1, bool)
+    cuts = np.searchsorted(a, np.arange(len(sets) + 1))
+    for i in np.flatnonzero(np.diff(cuts)):
+        own = groups.find(int(i))
+        others = [j for j in b[cuts[i] : cuts[i + 1]].tolist() if groups.find(j) != own]
+        if not others:
+            continue
+        mine = ids[starts[i] : starts[i] + sizes[i]]
+        held[mine] = True
+        for j in others:
+            both = int(np.count_nonzero(held[ids[starts[j] : starts[j] + sizes[j]]]))
+            if 100 * both >= percent * (sizes[i] + sizes[j] - both) and groups.join(int(i), j):
+                edges.append((int(i), j))
+        held[mine] = False
+    return edges
+
+
+def _edges(met: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect, in each cell, what may be similar by its sketches, or
+    with `shingles` is similar by its sets. Rows of equal `root` are connected already."""
     columns = ["cell", "side", "node", "size", "sketch", "root"]
-    in_order = held.select(*columns).repartition("cell").sortWithinPartitions("cell", "node")
+    exact = "shingles" in met.columns
+    chosen = met.select(*columns, *(["shingles"] if exact else []))
+    in_order = chosen.repartition("cell").sortWithinPartitions("cell", "node")
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
+    def edges(rows: pa.Table) -> pa.RecordBatch:
         sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64)
+        cells = rows.column("cell").to_numpy()
         a, b, bits = close_pairs(
-            rows.column("cell").to_numpy(),
+            cells,
             sketches.reshape(-1, BITS // 64),
             rows.column("size").to_numpy(),
             rows.column("side").to_numpy(),
             percent,
         )
         roots = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-        wanted = roots[a] != roots[b]
-        if nearest is not None:
-            wanted &= best_ranks(a, b, bits) < nearest
+        groups = Groups(roots)
+        if exact and len(a):
+            sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
+            found = decided(a, b, sets, groups, percent)
+        else:
+            found = forest(a, b, bits, groups)
         nodes = rows.column("node").combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [nodes.take(pa.array(a[wanted])), nodes.take(pa.array(b[wanted]))], names=["a", "b"]
-        )
+        sides = [nodes.take(pa.array([e[i] for e in found], pa.int64())) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(sides, names=["a", "b"])
 
     def run(batches):
         rest = None
@@ -189,21 +248,55 @@ def _pairs(held: DataFrame, nearest: int | None, percent: int) -> DataFrame:
             starts = np.flatnonzero(np.diff(rest.column("cell").to_numpy())) + 1
             done = 0
             for start in starts:
-                if start - done >= PIECE:
-                    yield pairs(rest.slice(done, start - done))
+                if start - done >= PIECE or exact:
+                    yield edges(rest.slice(done, start - done))
                     done = start
             rest = rest.slice(done)
         if rest is not None and len(rest):
-            yield pairs(rest)
-
-    return in_order.mapInArrow(run, "a binary, b binary").distinct()
+            yield edges(rest)
+
+    found = in_order.mapInArrow(run, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _connections(met: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect what belongs together in each place of `met` (place,
+    node, n, n_shingles): n nodes, of so many shingles in all, meet there."""
+    parts = F.greatest(F.ceil(F.col("n") / CELL), F.ceil(F.col("n_shingles") / CELL_SHINGLES))
+    held = met.withColumn("parts", parts.cast("long"))
+    part = F.pmod(F.xxhash64("node", "place"), F.col("parts"))
+    dealt = held.select(
+        F.xxhash64("place", part).alias("cell"),
+        F.lit(-1).cast("long").alias("side"),
+        "node",
+        F.col("node").alias("root"),
+    )
+    edges = settle(_edges(dealt.join(marks, "node"), percent), "edges")
+    large = held.filter("parts > 1")
+    if large.isEmpty():
+        return edges
+    roots = settle(components(edges), "roots").withColumnRenamed("node", "in_group")
+    rooted = large.join(roots, F.col("node") == F.col("in_group"), "left").select(
+        *held.columns, F.coalesce("root", "node").alias("root")
+    )
+    several = rooted.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    several = several.filter("low < high").select("place")
+    left = settle(rooted.join(several, "place", "left_semi"), "open-places")
+    if left.isEmpty():
+        return edges
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    two = F.xxhash64("place", F.least("side", "other"), F.greatest("side", "other"))
+    each = left.withColumn("side", part).withColumn("other", others).filter("side != other")
+    each = each.select(two.alias("cell"), "side", "node", "root")
+    return edges.unionByName(settle(_edges(each.join(marks, "node"), percent), "edges"))
 
 
 def _places(distinct: DataFrame) -> DataFrame:
-    """The rows (place, node, n) of places that n nodes share, of at least two."""
+    """The rows (place, node, n) of places that n nodes share, of at least two; few bytes
+    of each are read there, so that only their number counts (n_shingles 0)."""
     keyed = distinct.select(F.explode("places").alias("place"), "node")
     counts = keyed.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1")
-    return keyed.join(counts, "place")
+    return keyed.join(counts, "place").withColumn("n_shingles", F.lit(0).cast("long"))
 
 
 def _sets(docs: DataFrame, distinct: DataFrame, places: DataFrame) -> DataFrame:
@@ -226,70 +319,15 @@ def _sets(docs: DataFrame, distinct: DataFrame, places: DataFrame) -> DataFrame:
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _decided(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs with `linked`: whether their sets are similar."""
-    ours = sets.select(F.col("node").alias("a"), F.col("shingles").alias("ours"))
-    theirs = sets.select(F.col("node").alias("b"), F.col("shingles").alias("theirs"))
-
-    def make():
-        def act(a, b, ours, theirs):
-            linked = [
-                similar(np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64), percent)
-                for s, t in zip(ours, theirs)
-            ]
-            return a, b, linked
-
-        return act
-
-    joined = pairs.join(ours, "a").join(theirs, "b").select("a", "b", "ours", "theirs")
-    return map_slices(joined, "a binary, b binary, linked boolean", make)
-
-
-def _part(of: int) -> Column:
-    """The cell of a node's place, dealt anew in each round `of`."""
-    parts = F.ceil(F.col("n") / CELL)
-    return F.pmod(F.xxhash64("node", F.lit(of)), parts)
-
-
-def _links(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links (a, b) that connect all similar nodes; None without any place."""
-    marks = sets.select("node", "size", "sketch")
-    held, links, refuted = places.withColumn("root", F.col("node")), None, None
-    for no, nearest in enumerate([*NEAREST, None]):
-        if held.isEmpty():
-            break
-        if nearest is not None:
-            dealt = held.withColumns(
-                {"cell": F.xxhash64("place", _part(no)), "side": F.lit(-1).cast("long")}
-            )
-        else:
-            # The cells of the last round, each with each.
-            others = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / CELL) - 1))
-            dealt = held.withColumn("side", _part(no - 1)).withColumn("other", others)
-            two = F.xxhash64("place", F.least("side", "other"), F.greatest("side", "other"))
-            dealt = dealt.filter("side != other").withColumn("cell", two)
-        pairs = _pairs(dealt.join(marks, "node"), nearest, percent)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if refuted is not None:
-            pairs = pairs.join(refuted, ["a", "b"], "left_anti")
-        decided = settle(_decided(settle(pairs, "near-pairs"), sets, percent), "decided-pairs")
-        fresh, wrong = decided.filter("linked").drop("linked"), decided.filter("not linked").drop("linked")
-        links = fresh if links is None else links.unionByName(fresh)
-        refuted = wrong if refuted is None else refuted.unionByName(wrong)
-        if nearest is None:
-            break
-        # Done are places all of whose pairs were compared, and those in one component.
-        held = held.filter((F.col("n") > nearest) | (F.col("n") > CELL)).drop("root")
-        if held.isEmpty():
-            break
-        roots = settle(components(links), "near-roots").withColumnRenamed("node", "in_group")
-        rooted = held.join(roots, F.col("node") == F.col("in_group"), "left").select(
-            "place", "node", "n", F.coalesce("root", "node").alias("root")
-        )
-        several = rooted.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        several = several.filter("low < high").select("place")
-        held = settle(rooted.join(several, "place", "left_semi"), "open-places")
-    return links
+def _links(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect all similar nodes."""
+    sketches = sets.select("node", "size", "sketch")
+    maybe = settle(components(_connections(places, sketches, percent)), "maybe-similar")
+    sized = maybe.join(sets.select("node", "size"), "node")
+    counts = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("n_shingles"))
+    met = settle(sized.select("node", "root").join(counts, "root"), "groups")
+    met = met.withColumnRenamed("root", "place")
+    return _connections(met, sets.select("node", "size", "sketch", "shingles"), percent)
 
 
 def near_duplicates(

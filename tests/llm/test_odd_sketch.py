@@ -5,13 +5,14 @@ import pytest
 
 from snapflow.llm import odd_sketch
 from snapflow.llm.odd_sketch import (
-    best_ranks,
+    Groups,
     close_pairs,
+    decided,
     estimate,
+    forest,
     most_bits,
     near_duplicates,
     shingle_set,
-    similar,
     sketch,
 )
 
@@ -78,7 +79,7 @@ def test_groups_are_those_of_all_pairs(spark, seed):
 
 def test_crowded_places_are_dealt_into_cells(spark, monkeypatch):
     monkeypatch.setattr(odd_sketch, "CELL", 8)
-    monkeypatch.setattr(odd_sketch, "NEAREST", (1, 2))
+    monkeypatch.setattr(odd_sketch, "CELL_SHINGLES", 500)
     docs = corpus(3, families=9, members=25)
     assert found(spark, docs) == brute(docs)
 
@@ -147,7 +148,6 @@ def test_estimates_and_their_limit():
             # a random set of similarity 0.85 or a little more
             cut = int(size * 0.15)
             one, other = np.sort(whole[: size - cut // 2]), np.sort(whole[cut - cut // 2 :])
-            assert similar(one, other)
             marks = [np.frombuffer(sketch(s), np.uint64) for s in (one, other)]
             bits = int(np.bitwise_count(marks[0] ^ marks[1]).sum())
             assert bits <= most
@@ -157,13 +157,33 @@ def test_estimates_and_their_limit():
     assert estimate(np.array([0]))[0] == 1
 
 
-def test_pairs_and_ranks():
+def test_pairs_of_a_cell():
     marks = np.array([[0], [1], [3], [0]], np.uint64)
     a, b, bits = close_pairs(np.array([1, 1, 1, 2]), marks, np.full(4, 9), np.full(4, -1), 85)
-    pairs = list(zip(a.tolist(), b.tolist(), bits.tolist()))
-    assert sorted(pairs) == [(0, 1, 1), (0, 2, 2), (1, 2, 1)]
-    ranks = dict(zip([p[:2] for p in pairs], best_ranks(a, b, bits).tolist()))
-    assert ranks == {(0, 1): 0, (1, 2): 0, (0, 2): 1}
+    assert sorted(zip(a.tolist(), b.tolist(), bits.tolist())) == [(0, 1, 1), (0, 2, 2), (1, 2, 1)]
     sides = np.array([0, 0, 1, 0])
     a, b, _ = close_pairs(np.array([1, 1, 1, 2]), marks, np.full(4, 9), sides, 85)
     assert sorted(zip(a.tolist(), b.tolist())) == [(0, 2), (1, 2)]
+
+
+def test_forests_connect_what_the_pairs_connect():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        n = int(rng.integers(2, 30))
+        a, b = np.sort(rng.integers(0, n, (2, int(rng.integers(0, 60)))), axis=0)
+        a, b = a[a != b], b[a != b]
+        given = rng.integers(0, n, n)  # rows that are connected before
+        whole, own = Groups(given), Groups(given)
+        joined = sum(whole.join(int(i), int(j)) for i, j in zip(a, b))
+        edges = forest(a, b, rng.integers(0, 9, len(a)), own)
+        assert len(edges) == joined
+        assert own.labels().tolist() == whole.labels().tolist()
+        assert set(edges) <= set(zip(a.tolist(), b.tolist()))
+
+
+def test_sets_decide():
+    sets = [np.arange(100, dtype=np.uint64) + np.uint64(k) for k in (0, 8, 9, 17, 400)]
+    a, b = np.triu_indices(5, 1)
+    edges = decided(a, b, sets, Groups(np.arange(5)), 85)  # 92 of 108 in common: 0.852
+    assert edges == [(0, 1), (1, 2), (2, 3)]
+    assert decided(a, b, sets, Groups(np.array([1, 1, 2, 2, 5])), 85) == [(1, 2)]
