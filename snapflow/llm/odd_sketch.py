@@ -7,13 +7,14 @@ many samples differ, most precisely where few do. Texts that are connected by pa
 estimate allows the wanted similarity meet once more, with their sets, which decide.
 
 Texts with equal sets are one node. All pairs that meet are compared within a task, but
-only the edges of a forest are written, so a group costs rows as it has members. Where
-very many meet, they are dealt into cells; if the forests of the cells leave several
-components, the cells are compared with one another.
+written is only whom each is connected with, so a group costs rows as it has members.
+Where very many meet, they are dealt into cells; if those leave several components, the
+cells are compared with one another.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import exp, sqrt
 
 import numpy as np
@@ -36,9 +37,9 @@ SAMPLES, BITS = 1024, 1024
 #: Standard deviations by which an estimate may be too low: one in 3 million pairs.
 DEVIATIONS = 5.0
 #: Members and shingles of a cell; where more meet, they are dealt into several.
-CELL, CELL_SHINGLES = 1024, 1 << 21
-#: Rows that are compared at a time.
-PIECE = 2048
+CELL, CELL_SHINGLES = 4096, 1 << 21
+#: Rows of small cells, and pairs, that are looked at together.
+PIECE, PAIRS = 2048, 1 << 17
 
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 31, ROWS * BANDS + SAMPLES, np.uint32) * 2 + 1
 
@@ -115,37 +116,11 @@ def most_bits(percent: int) -> int:
     return int(BITS / 2 * (1 - left) + DEVIATIONS * sqrt(by_samples**2 + max(0, by_folding))) + 1
 
 
-def close_pairs(
-    cells: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, sides: np.ndarray, percent: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows of one cell that may be similar, and the bits in which they differ.
-
-    Rows of a cell stand together; all are compared, by growing distance. Rows of equal
-    sides, but for side -1, are not.
-    """
-    most, found = most_bits(percent), []
-    here, gap = np.arange(len(cells)), 0
-    while len(here):
-        gap += 1
-        here = here[here + gap < len(cells)]
-        here = here[cells[here] == cells[here + gap]]
-        there = here + gap
-        low, high = np.minimum(sizes[here], sizes[there]), np.maximum(sizes[here], sizes[there])
-        fits = (100 * low >= percent * high) & ((sides[here] < 0) | (sides[here] != sides[there]))
-        a, b = here[fits], there[fits]
-        bits = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int64)
-        near = bits <= most
-        found.append((a[near], b[near], bits[near]))
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
 class Groups:
     """Rows that are connected, by union-find."""
 
     def __init__(self, roots: np.ndarray):
-        first = {}
+        first: dict = {}
         self.up = [first.setdefault(r, i) for i, r in enumerate(roots.tolist())]
 
     def find(self, i: int) -> int:
@@ -154,66 +129,74 @@ class Groups:
             i = self.up[i]
         return i
 
-    def join(self, i: int, j: int) -> bool:
-        """Whether the rows were not connected before."""
+    def join(self, i: int, j: int) -> None:
         i, j = self.find(i), self.find(j)
         self.up[max(i, j)] = min(i, j)
-        return i != j
 
     def labels(self) -> np.ndarray:
+        """The first row of each row's group."""
         return np.fromiter(map(self.find, range(len(self.up))), np.int64, len(self.up))
 
 
-def forest(a: np.ndarray, b: np.ndarray, bits: np.ndarray, groups: Groups) -> list[tuple[int, int]]:
-    """Pairs that connect all that the pairs connect, the closest first.
+def close_pairs(
+    cells: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, sides: np.ndarray, percent: int, groups: Groups
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one cell that may be similar and are not connected, in portions;
+    what is connected meanwhile is left out.
 
-    In each round every group takes its closest pair that leads out of it.
+    Rows of a cell stand together; all are compared, by growing distance. Rows of equal
+    sides, but for side -1, are not.
     """
-    edges = []
-    order = np.lexsort((b, a, bits))
-    a, b = a[order], b[order]
-    while len(a):
-        labels = groups.labels()
-        ours, theirs = labels[a], labels[b]
-        out = ours != theirs
-        a, b = a[out], b[out]
-        first = [np.unique(x[out], return_index=True)[1] for x in (ours, theirs)]
-        for at in np.unique(np.concatenate(first)):
-            i, j = int(a[at]), int(b[at])
-            if groups.join(i, j):
-                edges.append((i, j))
-    return edges
-
-
-def decided(
-    a: np.ndarray, b: np.ndarray, sets: list[np.ndarray], groups: Groups, percent: int
-) -> list[tuple[int, int]]:
-    """Pairs that are similar by their sets, enough to connect all that are."""
-    edges, order = [], np.argsort(a, kind="stable")
-    a, b = a[order], b[order]
-    sizes = np.array([len(s) for s in sets])
-    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    starts = np.cumsum(sizes) - sizes
-    held = np.zeros(int(ids.max(initial=-1)) + 1, bool)
-    cuts = np.searchsorted(a, np.arange(len(sets) + 1))
-    for i in np.flatnonzero(np.diff(cuts)):
-        own = groups.find(int(i))
-        others = [j for j in b[cuts[i] : cuts[i + 1]].tolist() if groups.find(j) != own]
-        if not others:
-            continue
-        mine = ids[starts[i] : starts[i] + sizes[i]]
-        held[mine] = True
-        for j in others:
-            both = int(np.count_nonzero(held[ids[starts[j] : starts[j] + sizes[j]]]))
-            if 100 * both >= percent * (sizes[i] + sizes[j] - both) and groups.join(int(i), j):
-                edges.append((int(i), j))
-        held[mine] = False
-    return edges
+    most, found, held = most_bits(percent), [], 0
+    here, gap, labels = np.arange(len(cells)), 0, groups.labels()
+    while len(here):
+        gap += 1
+        here = here[here + gap < len(cells)]
+        here = here[cells[here] == cells[here + gap]]
+        there = here + gap
+        low, high = np.minimum(sizes[here], sizes[there]), np.maximum(sizes[here], sizes[there])
+        fits = (100 * low >= percent * high) & ((sides[here] < 0) | (sides[here] != sides[there]))
+        fits &= labels[here] != labels[there]
+        a, b = here[fits], there[fits]
+        near = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int64) <= most
+        found.append((a[near], b[near]))
+        held += np.count_nonzero(near)
+        # Few pairs at first, so that groups are known soon.
+        if held >= min(PAIRS, 256 * gap):
+            yield tuple(np.concatenate(x) for x in zip(*found))
+            found, held, labels = [], 0, groups.labels()
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*found))
+
+
+class Sets:
+    """The shingles of rows, numbered, to be compared many times."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = [len(s) for s in sets]
+        ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        self.ids = np.split(ids, np.cumsum(self.sizes)[:-1])
+        self.held = np.zeros(int(ids.max(initial=-1)) + 1, bool)
+
+    def join_similar(self, a: np.ndarray, b: np.ndarray, groups: Groups, percent: int) -> None:
+        """Connect the pairs that are similar."""
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        rows, starts = np.unique(a, return_index=True)
+        for i, others in zip(rows.tolist(), np.split(b, starts[1:])):
+            self.held[self.ids[i]] = True
+            for j in others.tolist():
+                if groups.find(i) != groups.find(j):
+                    both = int(np.count_nonzero(self.held[self.ids[j]]))
+                    if 100 * both >= percent * (self.sizes[i] + self.sizes[j] - both):
+                        groups.join(i, j)
+            self.held[self.ids[i]] = False
 
 
 def _edges(met: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that connect, in each cell, what may be similar by its sketches, or
-    with `shingles` is similar by its sets. Rows of equal `root` are connected already."""
+    with `shingles` is similar by its sets; not all are similar pairs themselves, but
+    connected by such. Rows of equal `root` are connected already."""
     columns = ["cell", "side", "node", "size", "sketch", "root"]
     exact = "shingles" in met.columns
     chosen = met.select(*columns, *(["shingles"] if exact else []))
@@ -221,23 +204,29 @@ def _edges(met: DataFrame, percent: int) -> DataFrame:
 
     def edges(rows: pa.Table) -> pa.RecordBatch:
         sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64)
-        cells = rows.column("cell").to_numpy()
-        a, b, bits = close_pairs(
-            cells,
+        roots = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        groups, sets = Groups(roots), None
+        before = groups.labels()
+        portions = close_pairs(
+            rows.column("cell").to_numpy(),
             sketches.reshape(-1, BITS // 64),
             rows.column("size").to_numpy(),
             rows.column("side").to_numpy(),
             percent,
+            groups,
         )
-        roots = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-        groups = Groups(roots)
-        if exact and len(a):
-            sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
-            found = decided(a, b, sets, groups, percent)
-        else:
-            found = forest(a, b, bits, groups)
+        for a, b in portions:
+            if exact:
+                if sets is None:
+                    sets = Sets([np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()])
+                sets.join_similar(a, b, groups, percent)
+            else:
+                for i, j in zip(a.tolist(), b.tolist()):
+                    groups.join(i, j)
+        after = groups.labels()
+        moved = np.flatnonzero(after != before)
         nodes = rows.column("node").combine_chunks()
-        sides = [nodes.take(pa.array([e[i] for e in found], pa.int64())) for i in (0, 1)]
+        sides = [nodes.take(pa.array(x)) for x in (after[moved], moved)]
         return pa.RecordBatch.from_arrays(sides, names=["a", "b"])
 
     def run(batches):
@@ -320,7 +309,7 @@ def _sets(docs: DataFrame, distinct: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def _links(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect all similar nodes."""
+    """Edges (a, b) that connect all similar nodes."""
     sketches = sets.select("node", "size", "sketch")
     maybe = settle(components(_connections(places, sketches, percent)), "maybe-similar")
     sized = maybe.join(sets.select("node", "size"), "node")

@@ -6,10 +6,9 @@ import pytest
 from snapflow.llm import odd_sketch
 from snapflow.llm.odd_sketch import (
     Groups,
+    Sets,
     close_pairs,
-    decided,
     estimate,
-    forest,
     most_bits,
     near_duplicates,
     shingle_set,
@@ -111,8 +110,9 @@ def test_pairs_of_a_family_below_the_limit_are_not_written():
     assert 0.66 < one < 0.72
     marks = np.frombuffer(b"".join(map(sketch, sets)), np.uint64).reshape(300, -1)
     sizes = np.array([len(s) for s in sets])
-    a, _, _ = close_pairs(np.zeros(300, np.int64), marks, sizes, np.full(300, -1), 85)
-    assert len(a) < 300
+    cell = np.zeros(300, np.int64)
+    pairs = close_pairs(cell, marks, sizes, np.full(300, -1), 85, Groups(np.arange(300)))
+    assert sum(len(a) for a, _ in pairs) < 300
 
 
 def test_nulls_empties_repeats_and_long_texts(spark):
@@ -159,31 +159,32 @@ def test_estimates_and_their_limit():
 
 def test_pairs_of_a_cell():
     marks = np.array([[0], [1], [3], [0]], np.uint64)
-    a, b, bits = close_pairs(np.array([1, 1, 1, 2]), marks, np.full(4, 9), np.full(4, -1), 85)
-    assert sorted(zip(a.tolist(), b.tolist(), bits.tolist())) == [(0, 1, 1), (0, 2, 2), (1, 2, 1)]
-    sides = np.array([0, 0, 1, 0])
-    a, b, _ = close_pairs(np.array([1, 1, 1, 2]), marks, np.full(4, 9), sides, 85)
-    assert sorted(zip(a.tolist(), b.tolist())) == [(0, 2), (1, 2)]
-
-
-def test_forests_connect_what_the_pairs_connect():
-    rng = np.random.default_rng(6)
-    for _ in range(200):
-        n = int(rng.integers(2, 30))
-        a, b = np.sort(rng.integers(0, n, (2, int(rng.integers(0, 60)))), axis=0)
-        a, b = a[a != b], b[a != b]
-        given = rng.integers(0, n, n)  # rows that are connected before
-        whole, own = Groups(given), Groups(given)
-        joined = sum(whole.join(int(i), int(j)) for i, j in zip(a, b))
-        edges = forest(a, b, rng.integers(0, 9, len(a)), own)
-        assert len(edges) == joined
-        assert own.labels().tolist() == whole.labels().tolist()
-        assert set(edges) <= set(zip(a.tolist(), b.tolist()))
+
+    def pairs(sides, roots):
+        found = close_pairs(np.array([1, 1, 1, 2]), marks, np.full(4, 9), np.array(sides), 85, Groups(np.array(roots)))
+        return sorted((int(i), int(j)) for a, b in found for i, j in zip(a, b))
+
+    assert pairs([-1] * 4, range(4)) == [(0, 1), (0, 2), (1, 2)]
+    assert pairs([0, 0, 1, 0], range(4)) == [(0, 2), (1, 2)]
+    assert pairs([-1] * 4, [5, 5, 6, 7]) == [(0, 2), (1, 2)]
+
+
+def test_what_is_connected_meanwhile_is_not_compared_again():
+    n = 3000
+    marks, groups, seen = np.zeros((n, 1), np.uint64), Groups(np.arange(n)), 0
+    cell = np.zeros(n, np.int64)
+    for a, b in close_pairs(cell, marks, np.full(n, 9), np.full(n, -1), 85, groups):
+        seen += len(a)
+        for i, j in zip(a.tolist(), b.tolist()):
+            groups.join(i, j)
+    assert seen < 2 * n and set(groups.labels().tolist()) == {0}
 
 
 def test_sets_decide():
     sets = [np.arange(100, dtype=np.uint64) + np.uint64(k) for k in (0, 8, 9, 17, 400)]
     a, b = np.triu_indices(5, 1)
-    edges = decided(a, b, sets, Groups(np.arange(5)), 85)  # 92 of 108 in common: 0.852
-    assert edges == [(0, 1), (1, 2), (2, 3)]
-    assert decided(a, b, sets, Groups(np.array([1, 1, 2, 2, 5])), 85) == [(1, 2)]
+    groups = Groups(np.arange(5))
+    Sets(sets).join_similar(a, b, groups, 85)  # 92 of 108 in common: 0.852
+    assert groups.labels().tolist() == [0, 0, 0, 0, 4]
+    Sets(sets).join_similar(a, b, groups := Groups(np.array([1, 5, 2, 2, 9])), 86)
+    assert groups.labels().tolist() == [0, 1, 1, 1, 4]
