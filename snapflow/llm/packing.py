@@ -18,6 +18,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from snapflow.llm.token_count import byte_letters
@@ -31,7 +32,7 @@ PER_SEQUENCE, IN_DOCUMENT, IN_SENTENCE = 8, 2, 64
 #: Tokens over which cuts are chosen together; all but the last are final.
 STRETCH = 1 << 18
 #: Words whose ids a Python worker keeps, some 200 bytes each; more are encoded anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 #: ASCII that is neither letter, digit nor white space.
 MARKS = bytes(i for i in range(33, 127) if not chr(i).isalnum())
 BYTE_LETTERS = {b: letter for letter, b in byte_letters().items()}
@@ -53,29 +54,39 @@ class WordIds(dict):
         ]
         self.sentence_end = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.sentence_end[ends] = True
+        self.model = self.tokenizer.model
+        #: Each id as it is written.
+        self.raw = [i.to_bytes(4, "little") for i in range(len(self.sentence_end))]
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(MARKS)
-        if core and core != word and core[-1:].isalpha() and b"<|" not in word:
+        if word.isalpha():
+            # ASCII letters stand for themselves.
+            made = self._raw(self.model.tokenize(word.decode("ascii").lower()))
+        elif (core := word.rstrip(MARKS)) and core != word and core[-1:].isalpha() and b"<|" not in word:
             # Marks after a letter are a piece of their own.
             made = self[core] + self[word[len(core) :]]
         else:
-            made = np.array(self._encoded(word), "<u4").tobytes()
+            made = self._encoded(word)
         if len(self) >= KEPT_WORDS:
             self.clear()
         if len(word) <= 64:
             self[word] = made
         return made
 
-    def _encoded(self, word: bytes) -> list[int]:
+    def _raw(self, tokens: list) -> bytes:
+        raw = self.raw
+        return b"".join([raw[t.id] for t in tokens])
+
+    def _encoded(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
         plain = text.lower()
         # Letters below U+0180 are in normal form and one piece, which the model takes in
         # the letters that stand for its bytes; this spares the steps before.
         if plain.isalpha() and max(plain) < "\u0180":
             piece = plain.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
-            return [t.id for t in self.tokenizer.model.tokenize(piece)]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return self._raw(self.model.tokenize(piece))
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return b"".join([self.raw[i] for i in ids])
 
     def document(self, text: str | None, end_id: int = END_ID) -> np.ndarray:
         raw = (text or "").encode("utf-8")
@@ -98,14 +109,20 @@ def choose_cuts(
     own = penalties.tolist()
     index = np.full(at[-1] + 1, -1, np.int64)
     index[places] = np.arange(len(places))
-    exact: dict[int, list[int]] = {}
+    ends, starts = [], []
     size = 1
     while size < length:
         back = places - size
-        hits = np.flatnonzero((back >= 0) & (index[np.maximum(back, 0)] >= 0))
-        for j, i in zip(hits.tolist(), index[back[hits]].tolist()):
-            exact.setdefault(j, []).append(i)
+        hits = np.flatnonzero(index[np.maximum(back, 0)] >= 0)
+        hits = hits[back[hits] >= 0]
+        ends.append(hits)
+        starts.append(index[back[hits]])
         size *= 2
+    # The cuts a power of two before each place, place by place.
+    ends, starts = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(ends, kind="stable")
+    starts = starts[order].tolist()
+    upto = np.searchsorted(ends[order], np.arange(len(at) + 1)).tolist()
     cost, before = [0.0] * len(at), [0] * len(at)
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])
     for j in range(1, len(at)):
@@ -114,7 +131,7 @@ def choose_cuts(
             queue.popleft()
         best, i = queue[0]
         best += length - here
-        for k in exact.get(j, ()):
+        for k in starts[upto[j] : upto[j + 1]]:
             if cost[k] < best:
                 best, i = cost[k], k
         cost[j] = total = best + own[j] + PER_SEQUENCE
@@ -235,7 +252,7 @@ def pack(
         if id_type is not None:
             yield _batch(list(packer.finish()), names, id_type)
 
-    rows = docs.select(key, text).sortWithinPartitions(key)
+    rows = docs.select(key, text).sortWithinPartitions(key, F.xxhash64(text))
     return rows.mapInArrow(
         run, f"`{key}` {kind}, " + ", ".join(f"{n} long" for n in names[1:])
     )

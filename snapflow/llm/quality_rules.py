@@ -126,17 +126,20 @@ def quality_rules(
     text: str = "text",
     host: str = "source",
     rules: Rules = Rules(),
+    carry_host: bool = False,
 ) -> DataFrame:
     """Counts and verdict per row of `docs`.
 
     Returns `key`, the base counts, text_hash (xxhash64 of the text), words_left, dropped_lines (places of lines above the
     limits, ascending) and kept. Null and empty texts have no words and fail; null is a
     host like any other; rows that repeat each get the result, and count once towards
-    the frequency of their lines. Other columns of `docs` are not read.
+    the frequency of their lines. With `carry_host` the host comes along as host_of_row.
+    Other columns of `docs` are not read.
     """
     facts = settle(line_facts(docs, key, text, host, rules), "line-facts")
     often = frequent_lines(facts, rules).groupBy("host").agg(F.collect_set("mark").alias("often"))
-    joined = facts.join(often, facts.host.eqNullSafe(often.host), "left").drop(often.host)
+    often = often.withColumnRenamed("host", "often_host")
+    joined = facts.join(often, F.col("host").eqNullSafe(F.col("often_host")), "left")
     line = F.arrays_zip("places", "marks", "sizes")
     gone = F.filter(line, lambda x: F.array_contains(F.col("often"), x["marks"]))
     judged = joined.withColumn("gone", F.coalesce(gone, F.array().cast(gone_type()))).withColumn(
@@ -153,6 +156,7 @@ def quality_rules(
         "words_left",
         F.col("gone.places").alias("dropped_lines"),
         (~F.col("base_failed") & ~depleted).alias("kept"),
+        *([F.col("host").alias("host_of_row")] if carry_host else []),
     )
 
 
@@ -169,18 +173,28 @@ def apply_rules(
 ) -> DataFrame:
     """The rows of `docs` that are kept, their texts without the lines above the limits.
 
-    The columns are those of `docs`. Rows go by their id and text, so that rows that share
-    an id alone are judged by their own text.
+    The columns are those of `docs`, whatever their names. Rows go by their id, host and
+    text, so that rows that share an id alone are judged by their own text and host.
     """
-    verdict = quality_rules(docs, key, text, host, rules).filter("kept")
+    verdict = quality_rules(docs, key, text, host, rules, carry_host=True).filter("kept")
     verdict = verdict.select(
-        F.col(key).alias("kept_id"), "text_hash", F.col("dropped_lines").alias("gone")
-    ).dropDuplicates(["kept_id", "text_hash"])
-    rows = docs.withColumn("text_of_row", F.xxhash64(F.coalesce(text, F.lit(""))))
+        F.col(key).alias("kept_id"), "host_of_row", "text_hash", F.col("dropped_lines").alias("gone")
+    ).dropDuplicates(["kept_id", "host_of_row", "text_hash"])
+    rows = docs.select(
+        F.col(key).alias("id"),
+        F.col(host).alias("host"),
+        F.col(text).alias("text"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash"),
+        F.struct(*docs.columns).alias("row"),
+    )
     joined = rows.join(
         verdict,
-        F.col(key).eqNullSafe(F.col("kept_id")) & (F.col("text_of_row") == F.col("text_hash")),
+        F.col("id").eqNullSafe(F.col("kept_id"))
+        & F.col("host").eqNullSafe(F.col("host_of_row"))
+        & (F.col("hash") == F.col("text_hash")),
+    )
+    lines = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("gone", i))
+    cleaned = F.when(F.size("gone") == 0, F.col("text")).otherwise(F.array_join(lines, "\n"))
+    return joined.select(
+        *[cleaned.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
     )
-    lines = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("gone", i))
-    cleaned = F.when(F.size("gone") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
-    return joined.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -162,29 +162,34 @@ def fingerprint_edges(prints: DataFrame, place: int = PLACE) -> DataFrame:
     return edges.unionByName(_forests(finer, None).select("a", "b"))
 
 
-def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprint and component of each row: `key`, fingerprint (16 hex digits),
-    component_id, and root (of the component, as a fingerprint).
-
-    component_id is the least id that is reachable over links, itself included; null ids
-    are passed over, and where all are null it is null. Texts without words, also null
-    ones, have the fingerprint 0 and are linked like any other. Rows that repeat each
-    have a result. Other columns of `docs` are not read.
-    """
+def _judged(rows: DataFrame) -> DataFrame:
+    """Of rows (id, mark, text): id, mark, fp, component_id and root."""
 
     def make():
-        return lambda keys, texts: (keys, [signed(fingerprint(t)) for t in texts])
+        return lambda keys, marks, texts: (keys, marks, [signed(fingerprint(t)) for t in texts])
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("id"), text)
-    prints = settle(map_slices(rows, f"id {kind}, fp long", make), "fingerprints")
+    kind = rows.schema["id"].dataType.simpleString()
+    prints = settle(map_slices(rows, f"id {kind}, mark long, fp long", make), "fingerprints")
     distinct = settle(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-prints")
     roots = components(fingerprint_edges(distinct.select("fp")))
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = joined.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = rooted.select("fp", "root").join(least, "root")
-    return prints.join(by_print, "fp").select(
+    return prints.join(by_print, "fp").select("id", "mark", "fp", "component_id", "root")
+
+
+def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Fingerprint and component of each row: `key`, fingerprint (16 hex digits),
+    component_id, and root (of the component, as a fingerprint).
+
+    component_id is the least id that is reachable over links, itself included; null ids
+    are passed over, and where all are null it is null. Texts without words, also null
+    ones, have the fingerprint 0 and are linked like any other. Rows that repeat each
+    have a result. Other columns of `docs` are not read.
+    """
+    rows = docs.select(F.col(key).alias("id"), F.lit(0).cast("long").alias("mark"), F.col(text).alias("text"))
+    return _judged(rows).select(
         F.col("id").alias(key),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
@@ -193,16 +198,28 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that hold the least id of their component, one for each."""
-    return keep_heads(docs, simhash(docs, key, text), key)
-
-
-def keep_heads(docs: DataFrame, judged: DataFrame, key: str) -> DataFrame:
-    """The rows of `docs` that are the least of a root in `judged` (`key`, component_id, root)."""
-    judged = settle(judged, "components")
-    heads = judged.filter(F.col(key).eqNullSafe(F.col("component_id")))
-    heads = heads.select(F.col(key).alias("head_id"), "root")
-    kept = docs.join(heads.distinct(), F.col(key).eqNullSafe(F.col("head_id")))
-    if not heads.groupBy("root").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["root"])
-    return kept.select(*[docs[c] for c in docs.columns])
+    """One row of `docs` for each component.
+
+    It is a row of the least id; nulls come last, and of several rows that share the id
+    the one whose columns have the least hash. Rows go by id and hash, so that one that
+    shares an id alone is never taken for another; of rows that are wholly equal one
+    stays. All columns, whatever their names, are those of `docs`.
+    """
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = docs.select(
+        F.col(key).alias("id"),
+        F.xxhash64(F.lit("row"), *hashed).alias("mark"),
+        F.col(text).alias("text"),
+        F.struct(*docs.columns).alias("row"),
+    )
+    judged = settle(_judged(rows.drop("row")), "components")
+    counted = judged.groupBy("root", "id", "mark").agg(F.count("*").alias("n"))
+    order = F.struct(F.isnull("id").alias("unnamed"), "id", "mark", "n")
+    heads = counted.groupBy("root").agg(F.min(order).alias("head"))
+    heads = settle(heads.select(F.col("head.id").alias("head_id"), "head.mark", "head.n", "root"), "heads")
+    same = rows["id"].eqNullSafe(heads["head_id"]) & (rows["mark"] == heads["mark"])
+    kept = rows.join(heads, same).select("row", "n", "root")
+    if not heads.filter("n > 1").isEmpty():
+        once = kept.filter("n > 1").dropDuplicates(["root"])
+        kept = kept.filter("n = 1").unionByName(once)
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

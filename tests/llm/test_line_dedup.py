@@ -3,7 +3,14 @@ import random
 import pytest
 
 from snapflow.llm.common import normal_line
-from snapflow.llm.line_dedup import MIN_WORDS, half_keys, line_dedup, near, neighbour_keys
+from snapflow.llm.line_dedup import (
+    MIN_WORDS,
+    half_keys,
+    line_dedup,
+    near,
+    neighbour_keys,
+    without_repeats,
+)
 
 
 def edits(a, b):
@@ -24,10 +31,10 @@ def brute(docs):
         for line in (docs[key] or "").split("\n"):
             found = normal_line(line.encode()).decode().split(" ")
             long = len(found) >= MIN_WORDS
-            if not (long and any(edits(found, x) <= 1 for x in earlier)):
+            near_one = long and any(len(x) >= MIN_WORDS and edits(found, x) <= 1 for x in earlier)
+            if found == [""] or not (found in earlier or near_one):
                 kept.append(line)
-            if long:
-                earlier.append(found)
+            earlier.append(found)
         out[key] = None if docs[key] is None else "\n".join(kept)
     return out
 
@@ -86,7 +93,7 @@ def test_keys_find_all_near_lines():
         x, y = [[w.encode() for w in s] for s in (a, b)]
         if len(b) >= MIN_WORDS:
             assert set(half_keys(x)) & set(half_keys(y))
-            assert {k for k, _ in neighbour_keys(x)} & {k for k, _ in neighbour_keys(y)}
+            assert set(neighbour_keys(x)[0].tolist()) & set(neighbour_keys(y)[0].tolist())
         assert near(" ".join(a), " ".join(b)) == (edits(a, b) <= 1)
 
 
@@ -100,9 +107,13 @@ def test_near_is_the_edit_distance():
 def test_repeated_rows_null_ids_and_no_rows(spark):
     text = "one two three four five\nsix seven eight nine ten"
     rows = [(2, text), (2, text), (None, text), (None, "a"), (5, "one two three four 5\nshort")]
+    rows += [(6, "Short"), (7, "\nlonger")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((str(r["doc_id"]), r["text"], r["n_dropped"]) for r in line_dedup(frame).collect())
-    assert got == [("2", "", 2), ("2", "", 2), ("5", "short", 1), ("None", "a", 0), ("None", text, 0)]
+    assert got == [
+        ("2", "", 2), ("2", "", 2), ("5", "short", 1), ("6", "", 1), ("7", "\nlonger", 0),
+        ("None", "a", 0), ("None", text, 0),
+    ]
     assert line_dedup(frame.limit(0)).collect() == []
 
 
@@ -111,3 +122,29 @@ def test_one_very_long_line(spark):
     rows = [(1, " ".join(words)), (2, " ".join(words[:1500] + ["new"] + words[1500:]))]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"]: r["n_dropped"] for r in line_dedup(frame).collect()} == {1: 0, 2: 1}
+
+
+def test_rows_that_share_an_id_alone_are_told_apart(spark):
+    a, z = "one two three four five", "quite other words stand in this line"
+    for texts in ([(1, a), (5, a), (5, z)], [(None, a), (None, z), (None, a)], [(3, a + "\n" + z), (3, z)]):
+        frame = spark.createDataFrame(texts, "doc_id long, text string")
+        rows = line_dedup(frame).collect()
+        assert len(rows) == len(texts)
+        lines = [line for r in rows for line in r["text"].split("\n") if line]
+        assert set(lines) == {line for _, t in texts for line in t.split("\n")}
+
+
+INTERNAL = "id code row no mark halves first nos n_lines n_dropped key how line to_id text_ near".split()
+
+
+def test_columns_of_internal_names_come_through(spark):
+    texts = [(1, "one two three four five\nsix"), (2, "one two three four 5\n" + "w " * 12), (3, "six")]
+    frame = spark.createDataFrame(
+        [(*r, *range(len(INTERNAL))) for r in texts],
+        "doc_id long, text string, " + ", ".join(f"{c} int" for c in INTERNAL),
+    )
+    out = without_repeats(frame)
+    assert out.columns == frame.columns
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert {k: r["text"] for k, r in rows.items()} == {1: texts[0][1], 2: "w " * 12}
+    assert all(tuple(r)[2:] == tuple(range(len(INTERNAL))) for r in rows.values())

@@ -102,3 +102,29 @@ def test_copies_count_once_and_stay(spark):
     text = "\n".join(" ".join(f"word{i}{j}" for j in range(8)) for i in range(4))
     frame = spark.createDataFrame([(i, text, "h") for i in range(60)], "doc_id long, text string, source string")
     assert quality_rules(frame).filter("kept").count() == 60
+
+
+def test_rows_of_one_id_and_text_are_judged_by_their_own_host(spark):
+    line = " ".join(f"often{i}" for i in range(12))
+    own = [" ".join(f"w{k}x{i}" for i in range(20)) for k in range(30)]
+    rows = [(100 + k, own[k] + "\n" + line, "crowd") for k in range(30)]
+    rows += [(100, own[0] + "\n" + line, "other")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = apply_rules(frame).collect()
+    assert len(kept) == len(rows)
+    assert {r["text"] for r in kept if r["source"] == "other"} == {own[0] + "\n" + line}
+    assert {r["text"] for r in kept if r["source"] == "crowd"} == set(own)
+
+
+INTERNAL = "id host hash row gone text_hash kept_id host_of_row text_of_row kept often mark".split()
+
+
+def test_columns_of_internal_names_come_through(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    frame = spark.createDataFrame(
+        [(1, text, "s", *range(len(INTERNAL))), (2, "short", "s", *range(len(INTERNAL)))],
+        "doc_id long, text string, source string, " + ", ".join(f"{c} int" for c in INTERNAL),
+    )
+    out = apply_rules(frame)
+    assert out.columns == frame.columns
+    assert [tuple(r) for r in out.collect()] == [(1, text, "s", *range(len(INTERNAL)))]

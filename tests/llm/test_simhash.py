@@ -143,3 +143,37 @@ def test_components_of_texts(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values())
     assert simhash(frame.limit(0)).collect() == []
     assert keep_one(frame.filter(F.col("doc_id").isNull())).count() == 1
+
+
+def test_keep_one_never_takes_one_row_for_another(spark):
+    texts = ["one and only text of this kind here", "quite other words are in this one", "a third, unlike both of them"]
+    cases = [
+        [(1, texts[0], 1), (1, texts[1], 2), (2, texts[0], 3)],
+        [(None, t, 1) for t in texts],
+        [(None, texts[0], 1), (None, texts[0], 1), (None, texts[0], 2)],
+        [(5, texts[0], 7), (5, texts[0], 7), (5, texts[2], 7)],
+    ]
+    expected = [2, 3, 1, 2]
+    for rows, n in zip(cases, expected):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, extra int")
+        kept = [tuple(r) for r in keep_one(frame).collect()]
+        assert len(kept) == n == len({t for _, t, _ in kept})
+        assert set(kept) <= set(rows)
+        again = keep_one(frame.repartition(3, "extra")).collect()
+        assert sorted(map(str, again)) == sorted(str(r) for r in keep_one(frame).collect())
+
+
+INTERNAL = "id mark fp root component_id row head_id head n place least node".split()
+
+
+def test_columns_of_internal_names_come_through(spark):
+    texts = [(1, "some words that are here"), (2, "some words that are here"), (3, None)]
+    frame = spark.createDataFrame(
+        [(*r, *range(len(INTERNAL))) for r in texts],
+        "doc_id long, text string, " + ", ".join(f"{c} int" for c in INTERNAL),
+    )
+    out = keep_one(frame)
+    assert out.columns == frame.columns
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert set(rows) == {1, 3}
+    assert all(tuple(r)[2:] == tuple(range(len(INTERNAL))) for r in rows.values())
