@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.llm.decontaminate import clean_documents
-from snapflow.llm.line_dedup import line_dedup
-from snapflow.llm.near_copies import keep_one
+from snapflow.llm.line_dedup import without_repeats
 from snapflow.llm.packing import pack
 from snapflow.llm.quality_rules import apply_rules
+from snapflow.llm.simhash import keep_one
 from snapflow.sources.tables import settle
 
 #: No SQL: xxhash64 fingerprints and token ids have none in DuckDB.
@@ -34,15 +34,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that stand earlier; a text that thereby has no word left goes."""
-    carry = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = line_dedup(docs, carry=carry)
-    left = (F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return _counted(found.filter(left), docs.columns)
+    """Texts without lines that stand earlier; one of which too few words are left goes."""
+    return _counted(without_repeats(docs), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard 0.8."""
+    """One document of each group of near copies, by their fingerprints."""
     return keep_one(docs)
 
 
