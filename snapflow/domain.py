@@ -84,10 +84,10 @@ def readings(spark: SparkSession, sf_dir: str, source: DataFrame | None = None)
     )
 
 
-def documents(spark: SparkSession, sf_dir: str, unit: str = "minute") -> DataFrame:
-    """Readings packed as snapshot documents: one per minute (or `unit`), its places the
-    stations read in that time and a bike left in the street."""
-    minute = F.date_trunc(unit, "ts")
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings packed as snapshot documents: one per minute, its places the stations read
+    in that time and a bike left in the street."""
+    minute = F.date_trunc("minute", "ts")
     real = (
         readings(spark, sf_dir)
         .groupBy(minute.alias("minute"), "station_id", "station_name", "lat", "lng")
@@ -122,16 +122,30 @@ def documents(spark: SparkSession, sf_dir: str, unit: str = "minute") -> DataFra
     )
 
 
-def write_documents(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Hourly documents as JSON files, each in a folder that is named by its time; and
-    two more files, one malformed and one without a time."""
-    docs = documents(spark, sf_dir, "hour").withColumnRenamed("filename", "scraped")
-    json = docs.select(F.to_json(F.struct("countries")).alias("value"), "scraped")
-    first = json.agg(F.min("scraped").alias("scraped"))
-    broken = first.select(F.lit('{"countries": [').alias("value"), "scraped")
-    timeless = first.select(F.lit('{"countries": []}').alias("value"), F.lit("notes").alias("scraped"))
-    whole = json.unionByName(broken).unionByName(timeless)
-    whole.repartition("scraped").write.partitionBy("scraped").text(folder)
+#: The field of a document that holds its name, where a file holds many.
+NAMED = "scraped"
+
+
+def write_documents(spark: SparkSession, sf_dir: str, folder: str, late: bool | None = None) -> None:
+    """Documents of each minute as JSON lines, a file for each day, every document with its
+    name; and a line that is malformed and a document without a time.
+
+    One document in nine is late: with `late` only those are written, or all the others.
+    """
+    docs = documents(spark, sf_dir).withColumnRenamed("filename", NAMED)
+    lines = docs.select(
+        F.to_json(F.struct("countries", NAMED)).alias("value"),
+        F.substring(NAMED, 1, 10).alias("day"),
+        (F.pmod(F.xxhash64(NAMED), F.lit(9)) == 0).alias("late"),
+    )
+    if late is not None:
+        lines = lines.filter(F.col("late") if late else ~F.col("late"))
+    lines = lines.drop("late")
+    if not late:
+        first = lines.agg(F.min("day").alias("day"))
+        for text in ('{"countries": [', f'{{"countries": [], "{NAMED}": "notes"}}'):
+            lines = lines.unionByName(first.select(F.lit(text).alias("value"), "day"))
+    lines.repartition("day").write.mode("append").partitionBy("day").text(folder)
 
 
 def customer_stations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,6 +63,29 @@ def _own_block(spread: DataFrame) -> DataFrame:
     return spread.filter("_block = _own").drop("_own", "_block")
 
 
+def label_stream(
+    gold: DataFrame, hours: int = HOURS_AHEAD, tol_s: int = TOLERANCE_S, delay: str = "0 seconds"
+) -> DataFrame:
+    """The label of each row of a stream of gold rows: station_id, ts, label.
+
+    The stream is joined with itself, each row with those of its station `hours` later,
+    and passed on once the watermark, which trails the newest row by `delay`, has gone by
+    the last of them; null where none has come. The newest rows wait. Rows are held for
+    that time only, so the state does not grow with history.
+    """
+    low, high = hours * 3600 - tol_s, hours * 3600 + tol_s
+    now = gold.select("station_id", "ts").withWatermark("ts", delay)
+    later = gold.select(
+        F.col("station_id").alias("seen_at"), F.col("ts").alias("seen"), F.col("bikes").alias("seen_bikes")
+    ).withWatermark("seen", delay)
+    in_time = (
+        f"station_id = seen_at AND seen >= ts + INTERVAL {low} SECONDS"
+        f" AND seen <= ts + INTERVAL {high} SECONDS"
+    )
+    met = now.join(later, F.expr(in_time), "leftOuter")
+    return met.groupBy("station_id", "ts").agg(F.avg("seen_bikes").alias("label"))
+
+
 def label_table(gold: DataFrame, hours: int = HOURS_AHEAD) -> DataFrame:
     """The label of each gold row, by station_id and ts; null where unknown."""
     return label_ahead(gold.select("station_id", "ts", "bikes"), hours=hours).drop("bikes")

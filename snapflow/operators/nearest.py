@@ -12,6 +12,8 @@ Stations that share coordinates are one point of which only the lowest ids can b
 listed by others; the rest of them are answered from that point's own list.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,23 +144,114 @@ def _with_home(spots: DataFrame, k: int) -> DataFrame:
 
     With no more than `k` stations in all, the search starts from the whole.
     """
-    ladder = _laddered(spots, f"sequence(0, {FINEST_LEVEL})").select("station_id", *CUBE)
-    crowded = ladder.groupBy(*CUBE).agg(F.count(F.lit(1)).alias("held")).filter(
-        F.col("held") > k
-    )
-    home = (
-        ladder.join(crowded.select(*CUBE), CUBE).groupBy("station_id").agg(F.max("level").alias("level"))
-    )
     # The margin keeps rounding from hiding a cube or a station.
     reach2 = " + ".join(f"pow({_FAR.format(a=a)}, 2)" for a in "xyz")
     return (
-        spots.join(home, "station_id", "left")
+        spots.join(_home_levels(spots, k), "station_id", "left")
         .withColumn("level", F.coalesce("level", F.lit(0)))
         .selectExpr("*", *_CUBE_AT_LEVEL)
         .withColumn("reach2", F.expr(f"({reach2}) * (1 + 1e-9) + 1e-28"))
     )
 
 
+def _home_levels(spots: DataFrame, k: int) -> DataFrame:
+    """The finest level at which each station's cube holds more than `k` stations.
+
+    In the order of a curve that runs through one half of every cube after the other, a
+    cube's stations stand together; a cube holds a station and `k` more if `k` + 1 that
+    follow one another, that station among them, do not leave it. So stations are put
+    in that order, spread over all tasks by its ranges, and each looks `k` places to either
+    side. Where two ranges meet, the last and first `k` are looked at once more, together.
+    """
+    order = ["curve", "curve_rest", "station_id"]
+    ends = [f"{_spread(f'q{a} >> 9')} << {i}" for i, a in enumerate("zyx")]
+    rest = [f"{_spread(f'q{a} & 511')} << {i}" for i, a in enumerate("zyx")]
+    placed = spots.selectExpr(
+        "station_id", "qx", "qy", "qz",
+        f"({ends[0]}) | ({ends[1]}) | ({ends[2]}) AS curve",
+        f"({rest[0]}) | ({rest[1]}) | ({rest[2]}) AS curve_rest",
+    )
+    ranges = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    found = settle(_levels(ranges, k), "levels")
+    # As many rows as there are ranges, times 2 k.
+    edges = found.filter("edge").drop("level", "edge").coalesce(1).sortWithinPartitions(*order)
+    both = found.unionByName(_levels(edges, k))
+    return both.groupBy("station_id").agg(F.max("level").alias("level"))
+
+
+def _spread(number: str) -> str:
+    """The 21 bits of a number, two zeros after each."""
+    for shift, mask in _SPREAD:
+        number = f"(({number}) | (({number}) << {shift})) & {mask}L" if shift else f"({number}) & {mask}L"
+    return f"({number})"
+
+
+# How 21 bits are drawn apart, half by half.
+_SPREAD = [
+    (0, 0x1FFFFF),
+    (32, 0x1F00000000FFFF),
+    (16, 0x1F0000FF0000FF),
+    (8, 0x100F00F00F00F00F),
+    (4, 0x10C30C30C30C30C3),
+    (2, 0x1249249249249249),
+]
+
+
+def _levels(in_order: DataFrame, k: int) -> DataFrame:
+    """Rows in the order of the curve with the level that their neighbours in the same task
+    give, and whether they are among the first or last `k` there (edge)."""
+    names = in_order.columns
+
+    def out(rows, levels, start: int, end: int, first: int, n: int | None):
+        part = rows.slice(start, end - start)
+        at = first + np.arange(start, end)
+        edge = at < k
+        if n is not None:
+            edge |= at >= n - k
+        return pa.RecordBatch.from_arrays(
+            [
+                *[part.column(c).combine_chunks() for c in names],
+                pa.array(levels[start:end], pa.int32(), mask=levels[start:end] < 0),
+                pa.array(edge),
+            ],
+            names=[*names, "level", "edge"],
+        )
+
+    def run(batches):
+        rows, first, done = None, 0, 0  # rows held, the number of the first, and those given out
+        for batch in filter(len, batches):
+            table = pa.Table.from_batches([batch])
+            rows = table if rows is None else pa.concat_tables([rows, table]).combine_chunks()
+            # All but the last k have seen all that follow.
+            ready = len(rows) - k
+            if ready > done:
+                yield out(rows, _window_levels(rows, k), done, ready, first, None)
+                keep = max(0, ready - k)
+                rows, first, done = rows.slice(keep), first + keep, ready - keep
+        if rows is not None:
+            n = first + len(rows)
+            yield out(rows, _window_levels(rows, k), done, len(rows), first, n)
+
+    kinds = ", ".join(f"{c} {kind}" for c, kind in in_order.dtypes)
+    return in_order.mapInArrow(run, f"{kinds}, level int, edge boolean")
+
+
+def _window_levels(rows: pa.Table, k: int) -> np.ndarray:
+    """Per row, the finest level of a cube that holds it and `k` more that stand beside it;
+    -1 where there are none."""
+    n = len(rows)
+    levels = np.full(n, -1)
+    if n > k:
+        apart = np.zeros(n - k, np.int64)
+        for axis in ("qx", "qy", "qz"):
+            q = rows.column(axis).to_numpy()
+            apart |= q[k:] ^ q[: n - k]
+        shared = FINEST_LEVEL - np.frexp(apart.astype(float))[1]
+        for i in range(k + 1):
+            np.maximum(levels[i : i + n - k], shared, out=levels[i : i + n - k])
+    return levels
+
+
 _CUBE_AT_LEVEL = [
     f"cast(shiftright(q{a}, {FINEST_LEVEL} - level) as int) AS c{a}" for a in "xyz"
 ]

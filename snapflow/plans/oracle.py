@@ -111,6 +111,14 @@ CTES = {
         FROM known""",
     "split": """
         SELECT *, position <= floor(total * 0.8::DOUBLE) AS is_train FROM placed""",
+    "trained": """
+        SELECT gold.*, label FROM gold JOIN known USING (station_id, ts)
+        WHERE gold.bikes IS NOT NULL AND close_bikes_5 IS NOT NULL""",
+    "tree_placed": """
+        SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY ts) AS position,
+               count(*) OVER (PARTITION BY station_id) AS total FROM trained""",
+    "tree_split": """
+        SELECT *, position <= floor(total * 0.8::DOUBLE) AS is_train FROM tree_placed""",
     "lines": """
         SELECT station_id, count(*) AS row_count,
                CASE WHEN regr_sxx(label, bikes) > 0 THEN regr_slope(label, bikes)
@@ -156,21 +164,19 @@ CTES = {
                    - INTERVAL '30 minutes'""",
 }
 
-CTES["hourly"] = """
-        SELECT date_trunc('hour', ts) AS ts, station_id, station_name, lat, lng,
-               max(bikes) AS bikes, bool_or(maintenance) AS maintenance
-        FROM readings GROUP BY ALL"""
-# A renamed station has two readings in its hour; the hash that then decides has no SQL,
-# and no renaming falls inside an hour of the tables.
 CTES["chain_slots"] = """
-        SELECT * FROM hourly WHERE ts <= (SELECT max(ts) FROM hourly) - INTERVAL '30 minutes'"""
+        SELECT * REPLACE (time_bucket(INTERVAL '10 minutes', ts) AS ts) FROM documents
+        WHERE time_bucket(INTERVAL '10 minutes', ts) <= (
+            SELECT max(time_bucket(INTERVAL '10 minutes', ts)) FROM documents)
+            - INTERVAL '30 minutes'
+        QUALIFY row_number() OVER (
+            PARTITION BY station_id, time_bucket(INTERVAL '10 minutes', ts) ORDER BY ts) = 1"""
 CTES["chain_met"] = CTES["met"].replace("snapshots", "chain_slots")
 CTES["chain_neighbours"] = CTES["neighbours"].replace("FROM met", "FROM chain_met")
 CTES["chain_gold"] = CTES["gold"].replace("FROM neighbours", "FROM chain_neighbours")
 
 NEEDS = {
-    "hourly": ["readings"],
-    "chain_slots": ["hourly"],
+    "chain_slots": ["documents"],
     "chain_met": ["chain_slots", "closest", "pairs"],
     "chain_neighbours": ["chain_met"],
     "chain_gold": ["chain_neighbours"],
@@ -190,6 +196,9 @@ NEEDS = {
     "known": ["labels"],
     "placed": ["known"],
     "split": ["placed"],
+    "trained": ["gold", "known"],
+    "tree_placed": ["trained"],
+    "tree_split": ["tree_placed"],
     "lines": ["known"],
     "chunked": ["placed"],
     "folds": ["chunked"],
@@ -464,6 +473,25 @@ ORACLE: dict[str, str] = {
                   FROM (SELECT station_id, {_METRICS} FROM known GROUP BY station_id))""",
         "known",
     ),
+    "neighbour_list_sizes": _sql(
+        """SELECT CAST(least(5, (SELECT count(*) - 1 FROM customer)) AS INTEGER) AS length,
+                  count(*) AS row_count FROM customer""",
+    ),
+    "runs_with_parameters": _sql(
+        f"""SELECT 'persistence' AS run_name, station_id, metric, round(value, 4) AS value,
+                   TIMESTAMP '2024-02-01 00:00:00' AS run_at, 'hours=4,tolerance_s=10' AS parameters
+            FROM (SELECT station_id, unnest(['row_count', 'r2', 'mse', 'rmse']) AS metric,
+                         unnest([CAST(row_count AS DOUBLE), r2, mse, rmse]) AS value
+                  FROM (SELECT station_id, {_METRICS} FROM known GROUP BY station_id))""",
+        "known",
+    ),
+    "reset_table": _sql("SELECT station_id, ts, bikes, maintenance FROM snapshots", "snapshots"),
+    "table_quality": _sql(
+        """SELECT unnest(['quality', 'comment']) AS key,
+                  unnest(['silver', 'One row per station and slot']) AS value,
+                  (SELECT count(*) FROM snapshots) AS row_count""",
+        "snapshots",
+    ),
     "null_profile": _sql(
         """SELECT column_name, null_count FROM (UNPIVOT (
                SELECT count(*) - count(station_id) AS station_id, count(*) - count(ts) AS ts,
@@ -493,12 +521,16 @@ ORACLE: dict[str, str] = {
     ),
     "json_readings": _sql(
         """SELECT ts, station_id, bikes, maintenance, station_name, round(lat, 5) AS lat,
-                  round(lng, 5) AS lng FROM hourly""",
-        "hourly",
+                  round(lng, 5) AS lng FROM documents""",
+        "documents",
+    ),
+    "json_inferred": _sql(
+        """SELECT ts, station_id, bikes, maintenance, station_name, round(lat, 5) AS lat,
+                  round(lng, 5) AS lng FROM documents""",
+        "documents",
     ),
     "json_bad_documents": """
-        SELECT strftime(date_trunc('hour', min(ts)), '%Y-%m-%dT%H-%M-%SZ.json') AS filename,
-               '{"countries": [' AS corrupt_document FROM events
+        SELECT NULL AS filename, '{"countries": [' AS corrupt_document
         UNION ALL SELECT 'notes', NULL""",
     "chain_snapshots": _sql(
         """SELECT ts, station_id, bikes, maintenance, station_name, round(lat, 5) AS lat,
@@ -506,6 +538,12 @@ ORACLE: dict[str, str] = {
         "chain_slots",
     ),
     "chain_gold": _sql("SELECT * FROM chain_gold", "chain_gold"),
+    "chain_features": _sql("SELECT * FROM chain_gold", "chain_gold"),
+    "stream_labels": _sql(
+        """SELECT station_id, ts, label FROM labels
+           WHERE ts + INTERVAL '14410 seconds' < (SELECT max(ts) FROM snapshots)""",
+        "labels",
+    ),
     "chain_labels": _sql(
         """SELECT g.station_id, g.ts, l.bikes::DOUBLE AS label FROM chain_gold g
            LEFT JOIN chain_gold l
@@ -533,11 +571,56 @@ ORACLE: dict[str, str] = {
     "boosted_reloaded": _sql(
         """SELECT station_id, ts, ts + INTERVAL '4 hours' AS prediction_valid,
                   0.0::DOUBLE AS difference
-           FROM gold WHERE bikes IS NOT NULL AND close_bikes_5 IS NOT NULL AND EXISTS (
-               SELECT 1 FROM gold g JOIN known USING (station_id, ts)
-               WHERE g.bikes IS NOT NULL AND g.close_bikes_5 IS NOT NULL)""",
-        "gold",
-        "known",
+           FROM gold WHERE bikes IS NOT NULL AND close_bikes_5 IS NOT NULL AND station_id IN (
+               SELECT station_id FROM trained)""",
+        "trained",
+    ),
+    "boosted_station_metrics": _sql(
+        """SELECT station_id, count(*) FILTER (WHERE is_train) AS learned,
+                  count(*) FILTER (WHERE NOT is_train) AS tested, true AS fits
+           FROM tree_split GROUP BY station_id HAVING learned > 0""",
+        "tree_split",
+    ),
+    "boosted_first_splits": _sql(
+        """, fixed AS (
+               SELECT *, CAST(floor(label * 1048576 + 0.5) AS BIGINT) AS y FROM trained
+           ), started AS (
+               SELECT *, y - CAST(floor(CAST(sum(y) OVER s AS DOUBLE) / count(*) OVER s + 0.5)
+                               AS BIGINT) AS rest
+               FROM fixed WINDOW s AS (PARTITION BY station_id)
+           ), cells AS (
+               SELECT station_id, rest, unnest(range(9)) AS feature, unnest([
+                   bikes, weekday, hour, tenminute, close_bikes_1, close_bikes_2, close_bikes_3,
+                   close_bikes_4, close_bikes_5]::DOUBLE[]) AS cut FROM started
+           ), sums AS (
+               SELECT station_id, feature, cut, count(*) AS cell_n, sum(rest) AS cell_s
+               FROM cells GROUP BY ALL
+           ), sides AS (
+               SELECT station_id, feature, cut, sum(cell_n) OVER f AS n, sum(cell_s) OVER f AS s,
+                      sum(cell_n) OVER c AS left_n, sum(cell_s) OVER c AS left_s
+               FROM sums WINDOW f AS (PARTITION BY station_id, feature),
+                                c AS (PARTITION BY station_id, feature ORDER BY cut)
+           ), gains AS (
+               SELECT *, CAST(left_s AS DOUBLE) * n - CAST(s AS DOUBLE) * left_n AS apart
+               FROM sides WHERE left_n >= 14 AND n - left_n >= 14
+           ), found AS (
+               SELECT *, apart * apart / (CAST(n AS DOUBLE) * left_n * (n - left_n)) AS gain
+               FROM gains
+           )
+           SELECT station_id, CAST(feature AS INTEGER) AS feature, cut,
+                  round(gain / 1099511627776, 3) AS gain,
+                  CAST(n AS BIGINT) AS row_count, CAST(left_n AS BIGINT) AS left_count
+           FROM found WHERE gain > 0
+           QUALIFY row_number() OVER (PARTITION BY station_id
+                                      ORDER BY gain DESC, feature, cut) = 1""",
+        "trained",
+    ),
+    "boosted_search": _sql(
+        """SELECT trial, CAST(floor((position - 1) * 6 / total) AS INTEGER) AS fold,
+                  count(*) AS row_count, false AS below_best
+           FROM tree_split, (SELECT unnest(range(20)) AS trial)
+           GROUP BY ALL HAVING fold > 0""",
+        "tree_split",
     ),
     "table_modes": _sql("SELECT station_id, ts, bikes, maintenance FROM snapshots", "snapshots"),
     "overwritten_table": _sql(

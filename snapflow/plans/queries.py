@@ -1,6 +1,7 @@
 """The registered queries: each operator over the whole driver tables."""
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,14 +10,15 @@ from snapflow import domain
 from snapflow.functions.times import calendar_columns, scrape_time, slot_start
 from snapflow.operators import checks
 from snapflow.operators.asof import asof_join
-from snapflow.operators.boosted import (
-    TUNED_TREES,
-    boosted_champion,
-    evaluate_and_refit_boosted,
-    register_boosted,
-)
 from snapflow.operators.features import gold_features, neighbour_bikes
-from snapflow.operators.labels import feature_columns, label_ahead, label_table, labelled_gold, training_set
+from snapflow.operators.labels import (
+    feature_columns,
+    label_ahead,
+    label_stream,
+    label_table,
+    labelled_gold,
+    training_set,
+)
 from snapflow.operators.linear import fit_and_evaluate, fit_line, fit_linear, linear_value
 from snapflow.operators.metrics import log_runs, regression_metrics
 from snapflow.operators.models import (
@@ -30,6 +32,7 @@ from snapflow.operators.nearest import nearest_k, station_distances, with_closes
 from snapflow.operators.search import (
     best_candidate,
     mean_scores,
+    random_candidates,
     ridge_fold_scores,
 )
 from snapflow.operators.snapshots import (
@@ -41,6 +44,18 @@ from snapflow.operators.snapshots import (
     untimed_rows,
 )
 from snapflow.operators.splits import forward_folds, hash_split, temporal_split
+from snapflow.operators.station_trees import (
+    HELD_OUT,
+    REFIT,
+    UNIT,
+    Trees,
+    evaluate_and_refit_trees,
+    fit_station_trees,
+    predict_station_trees,
+    register_station_trees,
+    search_station_trees,
+    station_trees_champion,
+)
 from snapflow.operators.stations import station_catalogue, station_rows
 from snapflow.schema import DOCUMENT, READING_DOCUMENT
 from snapflow.sources.readers import (
@@ -53,16 +68,19 @@ from snapflow.sources.readers import (
 )
 from snapflow.sources.tables import (
     append_rows,
+    append_stream,
     create_feature_table,
     create_table,
     merge_rows,
     overwrite_table,
+    reset_table,
+    set_quality,
     settle,
     shared_folder,
     upsert,
     with_partition_date,
 )
-from snapflow.streaming.jobs import Job, run_all, run_models, run_to_folder
+from snapflow.streaming.jobs import Job, current, run_all, run_models, run_to_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -208,6 +226,11 @@ def q_neighbour_list_length(spark, sf):
     )
 
 
+def q_neighbour_list_sizes(spark, sf):
+    """How many neighbours stations have."""
+    return checks.list_length(nearest_k(domain.customer_stations(spark, sf)), "closest_stations")
+
+
 # Features and labels
 
 
@@ -437,51 +460,85 @@ def q_runs_log(spark, sf):
     return rounded(log_runs(found, "persistence", ["station_id"]), 4, "value")
 
 
-_BOOSTED: dict[tuple[str, str], tuple] = {}
+def q_runs_with_parameters(spark, sf):
+    """Runs with what they were given, and when."""
+    found = regression_metrics(labelled_slots(spark, sf), ["station_id"], "label", "bikes")
+    told = log_runs(found, "persistence", ["station_id"], {"hours": 4, "tolerance_s": 10}, datetime(2024, 2, 1))
+    given = F.map_entries("parameters")
+    return rounded(told, 4, "value").select(
+        *["run_name", "station_id", "metric", "value", "run_at"],
+        F.array_join(F.transform(given, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("int"))), ",").alias(
+            "parameters"
+        ),
+    )
 
 
-def _boosted(spark, sf):
-    """The tuned trees, tested on the last fifth and refitted on all rows, and the rows
-    they forecast; fitted once for the queries of an application that look at it."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _BOOSTED:
-        features = settle(gold(spark, sf), "gold")
-        rows = training_set(features, label_table(features))
-        split = settle(temporal_split(settle(rows)), "split")
-        if split.isEmpty():  # nothing is learned, and nothing forecast
-            nothing = split.limit(0).withColumn("prediction", F.lit(0.0))
-            quality = regression_metrics(nothing, ["station_id"], "label", "prediction")
-            _BOOSTED[at] = (quality, None, features.limit(0))
-        else:
-            quality, model = evaluate_and_refit_boosted(split, FEATURES)
-            _BOOSTED[at] = (quality, model, features.na.drop(how="any"))
-    return _BOOSTED[at]
+def _tree_rows(spark, sf):
+    """Gold rows, and the training rows among them with their temporal split."""
+    features = settle(gold(spark, sf), "gold")
+    rows = settle(training_set(features, label_table(features)), "training")
+    return features, settle(temporal_split(rows), "split")
 
 
 def q_boosted_trees(spark, sf):
-    return _boosted(spark, sf)[0]
+    """Quality of each station's tuned trees on the last fifth of its rows."""
+    return evaluate_and_refit_trees(_tree_rows(spark, sf)[1], FEATURES)[0]
+
+
+def q_boosted_station_metrics(spark, sf):
+    """Rows that each station's trees learned from and were tested on, and whether they are
+    nearer to what they learned than its mean is, or it can not be split."""
+    _, split = _tree_rows(spark, sf)
+    quality, model = evaluate_and_refit_trees(split, FEATURES)
+    learned = split.filter("is_train").withColumn("fit", F.lit(HELD_OUT))
+    told = predict_station_trees(learned, model)
+    error = regression_metrics(told, ["station_id"], "label", "prediction")
+    error = error.selectExpr("station_id", "row_count as learned", "r2 > 1e-9 as lower")
+    split_roots = model.of(HELD_OUT).nodes.filter("tree = 0 and node = 1").select("station_id", F.lit(True).alias("splits"))
+    joined = error.join(split_roots, "station_id", "left").join(
+        quality.select("station_id", F.col("row_count").alias("tested")), "station_id", "left"
+    )
+    return joined.selectExpr(
+        "station_id", "learned", "coalesce(tested, 0L) as tested",
+        "coalesce(lower, false) = coalesce(splits, false) as fits",
+    )
+
+
+def q_boosted_first_splits(spark, sf):
+    """How the first tree of each station, over all its rows, splits its root."""
+    rows = _tree_rows(spark, sf)[1].withColumn("fit", F.lit(0))
+    model = fit_station_trees(rows, FEATURES, [Trees(0, trees=1)])
+    return model.nodes.filter("node = 1").select(
+        "station_id",
+        "feature",
+        "cut",
+        F.round(F.col("gain") * UNIT * UNIT, 3).alias("gain"),
+        F.col("n").alias("row_count"),
+        F.col("left_n").alias("left_count"),
+    )
+
+
+def _forecast_trees(spark, sf):
+    """Quality, models, and the gold rows as the refitted models forecast them."""
+    features, split = _tree_rows(spark, sf)
+    quality, model = evaluate_and_refit_trees(split, FEATURES)
+    asked = features.withColumn("fit", F.lit(REFIT))
+    return quality, model, asked
 
 
 def q_boosted_predictions(spark, sf):
-    _, model, features = _boosted(spark, sf)
-    if model is None:
-        return with_validity(features.select("station_id", "ts", F.lit(0.0).alias("prediction")))
-    return with_validity(model.predict(features).select("station_id", "ts", "prediction"))
+    _, model, asked = _forecast_trees(spark, sf)
+    return with_validity(predict_station_trees(asked, model).select("station_id", "ts", "prediction"))
 
 
 def q_boosted_reloaded(spark, sf):
     """Forecasts of the champion, loaded from where it was registered, less those of the
     model in memory."""
-    quality, model, features = _boosted(spark, sf)
-    if model is None:
-        known = features.select("station_id", "ts", F.lit(0.0).alias("prediction"))
-        return with_validity(known).select(
-            "station_id", "ts", "prediction_valid", F.col("prediction").alias("difference")
-        )
-    models = settle(register_boosted(spark, model, quality, "boosted", trees=TUNED_TREES))
-    again = boosted_champion(spark, models, "boosted")
-    both = again.predict(model.predict(features).withColumnRenamed("prediction", "before"))
-    return with_validity(both).select(
+    quality, model, asked = _forecast_trees(spark, sf)
+    models = settle(register_station_trees(spark, model, quality, "boosted"))
+    again = station_trees_champion(spark, models, "boosted")
+    before = predict_station_trees(asked, model).withColumnRenamed("prediction", "before")
+    return with_validity(predict_station_trees(before, again)).select(
         "station_id",
         "ts",
         "prediction_valid",
@@ -489,6 +546,18 @@ def q_boosted_reloaded(spark, sf):
     )
 
 
+def q_boosted_search(spark, sf):
+    """The search over the whole space of parameters: rows that each trial was tested on in
+    each fold, and whether its mean error is below that of the best candidate."""
+    _, split = _tree_rows(spark, sf)
+    chunked = settle(forward_folds(split.drop("is_train"), folds=FOLDS), "chunks")
+    scores = settle(search_station_trees(chunked, FEATURES, random_candidates(spark)), "scores")
+    means = mean_scores(scores, ["trial"])
+    best = best_candidate(means, [], "trial").select(F.col("rmse").alias("best"))
+    judged = scores.join(means.select("trial", F.col("rmse").alias("mean")), "trial").join(F.broadcast(best))
+    return judged.select("trial", "fold", "row_count", (F.col("mean") < F.col("best")).alias("below_best"))
+
+
 # Checks and lookups
 
 
@@ -546,45 +615,71 @@ def _json_folder(spark, sf):
 
 def q_json_readings(spark, sf):
     """Documents read from JSON files with the whole schema."""
-    docs = read_snapshots(spark, _json_folder(spark, sf), DOCUMENT, folders=True)
+    docs = read_snapshots(spark, _json_folder(spark, sf), DOCUMENT, named=domain.NAMED)
     return rounded(place_readings(flatten_places(docs)), 5, "lat", "lng")
 
 
 def q_json_bad_documents(spark, sf):
     docs = settle(
         read_snapshots(
-            spark, _json_folder(spark, sf), READING_DOCUMENT, folders=True, corrupt=True
+            spark, _json_folder(spark, sf), READING_DOCUMENT, corrupt=True, named=domain.NAMED
         ),
         "parsed",
     )
+    timed = docs.filter(F.col("filename").isNotNull())
     return corrupt_documents(docs).unionByName(
-        untimed_rows(docs).withColumn("corrupt_document", F.lit(None).cast("string"))
+        untimed_rows(timed).withColumn("corrupt_document", F.lit(None).cast("string"))
     )
 
 
-_CHAINS: dict[tuple[str, str], Job] = {}
+def q_json_inferred(spark, sf):
+    """Documents read from JSON files whose schema Spark has found out."""
+    docs = read_snapshots(spark, _json_folder(spark, sf), folders=True)
+    named = docs.filter(F.col(domain.NAMED).isNotNull()).drop("filename")
+    readings = place_readings(flatten_places(named.withColumnRenamed(domain.NAMED, "filename")))
+    return rounded(readings, 5, "lat", "lng")
+
+
+_CHAINS: dict[tuple, Job] = {}
+
+
+def _files(spark, sf, *names: str) -> tuple:
+    """The files of tables, and when each was written."""
+    found = set()
+    for name in names:
+        meta = domain.table(spark, sf, name).select("_metadata.file_path", "_metadata.file_modification_time")
+        found |= {tuple(r) for r in meta.distinct().collect()}
+    return tuple(sorted(found))
 
 
 def _chain(spark, sf) -> Job:
-    """The chain of streams over the JSON files, in tables of its own; run once for the
-    queries of an application that look at it."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _CHAINS:
+    """The chain of streams over the JSON files, in tables of its own: a run over most
+    documents, and another when those that are late have come. The tables are kept for
+    the queries of an application that look at them, by the files that they come from."""
+    at = (spark.sparkContext.applicationId, *_files(spark, sf, "events", "supplier"))
+    if at not in _CHAINS or not spark.catalog.tableExists(_CHAINS[at].table("label")):
         folder = shared_folder(spark, "chain")
-        job = Job("chain_" + folder[-32:], f"{folder}/checkpoints", since=None, folders=True)
-        run_all(spark, job, _json_folder(spark, sf))
+        job = Job("chain_" + folder[-32:], f"{folder}/checkpoints", since=None, named=domain.NAMED)
+        for late in (False, True):
+            domain.write_documents(spark, sf, f"{folder}/documents", late)
+            run_all(spark, job, f"{folder}/documents")
         run_models(spark, job)
         _CHAINS[at] = job
     return _CHAINS[at]
 
 
 def q_chain_snapshots(spark, sf):
-    found = spark.table(_chain(spark, sf).table("snapshots_silver")).drop("date")
+    found = current(spark, _chain(spark, sf), "snapshots_silver").drop("date")
     return rounded(found, 5, "lat", "lng")
 
 
 def q_chain_gold(spark, sf):
-    return spark.table(_chain(spark, sf).table("gold")).drop("date")
+    return current(spark, _chain(spark, sf), "gold").drop("date")
+
+
+def q_chain_features(spark, sf):
+    """The keyed table that the chain upserts new and changed gold rows into."""
+    return spark.table(_chain(spark, sf).table("features")).drop("date")
 
 
 def q_chain_labels(spark, sf):
@@ -597,6 +692,14 @@ def q_chain_forecasts(spark, sf):
     return found.select("station_id", "ts", "prediction_valid")
 
 
+def q_stream_labels(spark, sf):
+    """Labels by a join of the stream of snapshots with itself, four hours on."""
+    name = "slots_" + shared_folder(spark, "slots")[-32:]
+    overwrite_table(fact_slots(spark, sf).select("station_id", "ts", "bikes"), name)
+    labels = label_stream(read_table_stream(spark, name))
+    return run_to_folder(labels, "stream_labels", shared_folder(spark, "stream"))
+
+
 # Tables in other ways
 
 
@@ -618,6 +721,28 @@ def q_overwritten_table(spark, sf):
     return read_table(spark, name)
 
 
+def q_reset_table(spark, sf):
+    """A table that a stream has filled, dropped with its checkpoint, and filled anew: all
+    rows come again, and once."""
+    source, name = (f"{x}_{shared_folder(spark, x)[-32:]}" for x in ("source", "reset"))
+    overwrite_table(fact_slots(spark, sf), source)
+    append_stream(read_table_stream(spark, source), name, shared_folder(spark, "stream"), "reset_stream")
+    fresh = reset_table(spark, name, "stream")
+    append_stream(read_table_stream(spark, source), name, fresh, "reset_stream")
+    return spark.table(name)
+
+
+def q_table_quality(spark, sf):
+    """What a table is tagged with."""
+    name = "tagged_" + shared_folder(spark, "tagged")[-32:]
+    overwrite_table(fact_slots(spark, sf), name)
+    set_quality(spark, name, "silver", "One row per station and slot")
+    tags = spark.sql(f"SHOW TBLPROPERTIES {name}").filter("key = 'quality'").select("key", "value")
+    comment = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Comment'")
+    told = tags.unionByName(comment.select(F.lit("comment").alias("key"), F.col("data_type").alias("value")))
+    return told.join(spark.table(name).agg(F.count(F.lit(1)).alias("row_count")))
+
+
 def q_rows_at(spark, sf):
     return rows_at(fact_slots(spark, sf), "station_id", 1, "ts", "2024-01-01 00:30:00")
 

@@ -3,7 +3,7 @@
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -114,7 +114,7 @@ def create_feature_table(
     writer.partitionBy(partition_col).saveAsTable(table)
 
 
-def with_partition_date(df: DataFrame, partition_col: str, ts: str) -> DataFrame:
+def with_partition_date(df: DataFrame, partition_col: str, ts: str | Column) -> DataFrame:
     return df.withColumn(partition_col, F.to_date(ts))
 
 
@@ -171,7 +171,7 @@ def upsert(
             spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
     spark.catalog.refreshTable(table)
     for old in former:
-        _remove_folder(spark, old)
+        remove_folder(spark, old)
 
 
 def table_location(spark: SparkSession, table: str, partition: str = "") -> str:
@@ -180,7 +180,8 @@ def table_location(spark: SparkSession, table: str, partition: str = "") -> str:
     return told.filter("col_name = 'Location'").collect()[0]["data_type"].rstrip("/")
 
 
-def _remove_folder(spark: SparkSession, folder: str) -> None:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that this library has written, and all in it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 

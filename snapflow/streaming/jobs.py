@@ -11,13 +11,14 @@ long history is therefore better loaded by the same operators in batch.
 """
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.functions.times import slot_start
+from snapflow.functions.times import scrape_time
 from snapflow.operators.features import gold_features
-from snapflow.operators.labels import feature_columns, label_table, training_set
+from snapflow.operators.labels import HOURS_AHEAD, feature_columns, label_table, training_set
 from snapflow.operators.linear import fit_and_evaluate
 from snapflow.operators.models import champions, newest_predictions, predict, register_models
 from snapflow.operators.nearest import nearest_k
@@ -27,7 +28,6 @@ from snapflow.operators.snapshots import (
     dedup_snapshots,
     flatten_places,
     place_readings,
-    untimed_rows,
 )
 from snapflow.operators.splits import temporal_split
 from snapflow.operators.stations import (
@@ -39,7 +39,6 @@ from snapflow.operators.stations import (
 from snapflow.schema import DOCUMENT, READING_DOCUMENT
 from snapflow.sources.readers import (
     CORRUPT,
-    corrupt_documents,
     read_snapshot_stream,
     read_table_stream,
 )
@@ -53,7 +52,6 @@ from snapflow.sources.tables import (
     settle,
     table_location,
     upsert,
-    upsert_stream,
     with_partition_date,
 )
 
@@ -62,6 +60,9 @@ CATALOGUE = (
 )
 CATALOGUE_SHARDS = 16
 
+#: What the tables of the chain are keyed by.
+KEYS = ["station_id", "ts"]
+
 
 @dataclass(frozen=True)
 class Job:
@@ -73,7 +74,11 @@ class Job:
     delay: str = DEFAULT_DELAY
     neighbours: int = 5
     max_files: int | None = None
+    #: Names are those of folders, or lie in this field of each document.
     folders: bool = False
+    named: str | None = None
+    #: Where files go once they are taken up, so that listing them stays short.
+    archive: str | None = None
 
     def table(self, name: str) -> str:
         return f"{self.schema}.{name}"
@@ -86,40 +91,139 @@ def ingest_documents(spark: SparkSession, job: Job, path: str) -> None:
     """New files under `path` into the bronze table."""
     ensure_schema(spark, job.schema)
     docs = read_snapshot_stream(
-        spark, path, DOCUMENT, job.max_files, folders=job.folders, corrupt=True
+        spark,
+        path,
+        DOCUMENT,
+        job.max_files,
+        folders=job.folders,
+        corrupt=True,
+        named=job.named,
+        archive=job.archive,
     )
+    dated = with_partition_date(docs, "date", scrape_time("filename"))
     name = job.table("jsons_bronze")
-    append_stream(docs, name, job.checkpoint("jsons_bronze"), "json_stream")
+    append_stream(dated, name, job.checkpoint("jsons_bronze"), "json_stream", "date")
     set_quality(spark, name, "bronze", "Snapshot documents as they came, with file names")
 
 
 def bronze(spark: SparkSession, job: Job, stream: bool = True) -> DataFrame:
-    """The bronze table's file names and the fields that readings need.
+    """The bronze table's file names, dates and the fields that readings need.
 
     Its files are read with the narrow schema, so that the scan leaves out the rest.
     """
     place = table_location(spark, job.table("jsons_bronze"))
     reader = spark.readStream if stream else spark.read
-    return reader.schema(f"{READING_DOCUMENT}, {CORRUPT} string, filename string").parquet(place)
+    kind = f"{READING_DOCUMENT}, {CORRUPT} string, filename string, date date"
+    return reader.schema(kind).parquet(place)
 
 
 def note_bad_documents(spark: SparkSession, job: Job) -> None:
-    """Documents that are malformed, or whose file name holds no time, anew."""
-    docs = bronze(spark, job, stream=False)
-    untimed = untimed_rows(docs).select("filename", F.lit("no time").alias("fault"))
-    broken = corrupt_documents(docs).select("filename", F.lit("malformed").alias("fault"))
-    overwrite_table(broken.unionByName(untimed), job.table("bad_documents"))
+    """New documents that are malformed, or whose file name holds no time."""
+    faults = F.array(
+        F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")),
+        F.when(scrape_time("filename").isNull(), F.lit("no time")),
+    )
+    bad = bronze(spark, job).select("filename", F.explode(F.array_compact(faults)).alias("fault"))
+    append_stream(bad, job.table("bad_documents"), job.checkpoint("bad_documents"), "bad_stream")
+
+
+def corrected(log: DataFrame, changes: DataFrame) -> DataFrame:
+    """The rows of an append-only table with the newest of `changes`, by station and time,
+    in their place. Changes are few beside the table."""
+    columns = [c for c in log.columns if c not in KEYS]
+    newest = changes.groupBy(*KEYS).agg(F.max_by(F.struct(*columns), "version").alias("to"))
+    newest = newest.select(*KEYS, *[F.col("to")[c].alias(c) for c in columns])
+    return log.join(newest.select(*KEYS), KEYS, "left_anti").unionByName(newest)
+
+
+def current(spark: SparkSession, job: Job, name: str) -> DataFrame:
+    """A table of the chain as it now stands, late readings included."""
+    log, changes = spark.table(job.table(name)), job.table(f"{name}_changes")
+    return corrected(log, spark.table(changes)) if spark.catalog.tableExists(changes) else log
+
+
+def _dates(df: DataFrame, column: str = "date") -> list:
+    """The days of a few rows: a line for each to name the partitions to a scan."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+def _on(df: DataFrame, days: list) -> DataFrame:
+    return df.filter(F.col("date").isin(days))
+
+
+def _unlike(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Those of `rows` that `known` does not have just so; nulls are equal."""
+    same = F.lit(True)
+    for c in rows.columns:
+        same = same & rows[c].eqNullSafe(known[c])
+    return rows.join(known, same, "left_anti")
 
 
-def note_late_readings(spark: SparkSession, job: Job) -> None:
-    """Stations and slots that the stream of snapshots dropped as too late, anew."""
-    readings = place_readings(flatten_places(bronze(spark, job, stream=False)), job.since)
-    slots = readings.select("station_id", slot_start("ts").alias("ts")).distinct()
-    kept = spark.table(job.table("snapshots_silver"))
-    # Slots after the newest that was passed on still wait for the watermark.
-    newest = kept.agg(F.max("ts").alias("newest"))
-    passed = slots.join(newest, F.col("ts") <= F.col("newest"), "left_semi")
-    overwrite_table(late_rows(passed, kept), job.table("late_readings"))
+def take_in_late(spark: SparkSession, job: Job) -> None:
+    """Readings that came too late for the stream of snapshots, taken in after all.
+
+    The stream has passed their slots on without them. Each new document's readings are
+    compared with the snapshots; where a slot differs, it is made again from the documents
+    of its day, and with it the gold rows of that moment, of the station and of those that
+    list it. What differs goes to tables of changes, which are appended to: `current`
+    joins them to the tables. Done twice, it changes nothing. Only new documents, and the
+    days that they belong to, are read.
+    """
+
+    def take(batch: DataFrame, version: int) -> None:
+        session = batch.sparkSession
+        fresh = dedup_snapshots(place_readings(flatten_places(batch), job.since))
+        fresh = settle(with_partition_date(fresh, "date", "ts"), "new-slots")
+        # Slots after the newest that was passed on still wait for the watermark.
+        newest = session.table(job.table("snapshots_silver")).agg(F.max("ts")).first()[0]
+        known = current(session, job, "snapshots_silver")
+        passed = fresh.filter(F.col("ts") <= F.lit(newest))
+        suspects = settle(_unlike(passed, _on(known, _dates(passed)).select(*passed.columns)), "suspects")
+        days = _dates(suspects)
+        if not days:
+            return
+        docs = _on(bronze(session, job, stream=False), days)
+        whole = with_partition_date(dedup_snapshots(place_readings(flatten_places(docs), job.since)), "date", "ts")
+        right = whole.join(suspects.select(*KEYS), KEYS, "left_semi").select(*passed.columns)
+        late = settle(_unlike(right, _on(known, days).select(*right.columns)), "late")
+        append_rows(late.withColumn("version", F.lit(version)), job.table("snapshots_silver_changes"))
+        append_rows(late.select(*KEYS), job.table("late_readings"))
+
+        moments = suspects.select("ts").distinct()
+        met = _on(current(session, job, "snapshots_silver"), days).join(moments, "ts", "left_semi")
+        nearest = session.table(job.table("stations_with_closest"))
+        made = gold_features(met.select(*KEYS, "bikes"), nearest, job.neighbours)
+        gold = current(session, job, "gold")
+        made = with_partition_date(made, "date", "ts").select(*gold.columns)
+        moved = _unlike(made, _on(gold, days))
+        # Neighbours of other days stay as they were: only what the late rows touch moves.
+        lists = nearest.select("station_id", F.explode("closest_stations").alias("listed"))
+        reach = lists.unionByName(nearest.select("station_id", F.col("station_id").alias("listed")))
+        touched = suspects.select(F.col("station_id").alias("listed"), "ts").join(reach, "listed")
+        moved = settle(moved.join(touched.select(*KEYS), KEYS, "left_semi"), "moved")
+        append_rows(moved.withColumn("version", F.lit(version)), job.table("gold_changes"))
+
+    for name in ("snapshots_silver", "gold"):
+        log = spark.table(job.table(name))
+        if not spark.catalog.tableExists(job.table(f"{name}_changes")):
+            empty = log.limit(0).withColumn("version", F.lit(0).cast("bigint"))
+            append_rows(empty, job.table(f"{name}_changes"))
+    append_rows(spark.table(job.table("gold")).limit(0).select(*KEYS), job.table("late_readings"))
+    _each_batch(bronze(spark, job), "late_stream", job.checkpoint("late_readings"), take)
+    for name in ("snapshots_silver_changes", "gold_changes", "late_readings"):
+        spark.catalog.refreshTable(job.table(name))
+
+
+def _each_batch(source: DataFrame, name: str, checkpoint: str, take) -> None:
+    """Give what a stream holds now to `take`, and wait for its end."""
+    query = (
+        source.writeStream.queryName(name)
+        .trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(take)
+        .start()
+    )
+    query.awaitTermination()
 
 
 def refine_snapshots(spark: SparkSession, job: Job) -> None:
@@ -133,16 +237,37 @@ def refine_snapshots(spark: SparkSession, job: Job) -> None:
 
 
 def refine_stations(spark: SparkSession, job: Job) -> None:
-    """New descriptions of stations, then each station's nearest others."""
-    snapshots = read_table_stream(spark, job.table("snapshots_silver"))
+    """New descriptions of stations; each station's nearest others, if any place is new.
+
+    A description is new if the table does not have it, so nothing is kept in a stream's
+    state.
+    """
     name = job.table("stations_silver")
-    append_stream(
-        station_rows(snapshots), name, job.checkpoint("stations_silver"), "stations_stream"
-    )
+    if not spark.catalog.tableExists(name):
+        append_rows(station_rows(spark.table(job.table("snapshots_silver")).limit(0)), name)
+
+    def take_in(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        append_rows(settle(_unlike(station_rows(batch), session.table(name)), "descriptions"), name)
+
+    source = read_table_stream(spark, job.table("snapshots_silver"))
+    _each_batch(source, "stations_stream", job.checkpoint("stations_silver"), take_in)
+    spark.catalog.refreshTable(name)
     set_quality(spark, name, "silver", "Distinct descriptions of stations")
     update_catalogue(spark, job)
+    update_nearest(spark, job)
+
+
+def update_nearest(spark: SparkSession, job: Job) -> None:
+    """Nearest stations anew, where a station is new or has moved since the last time."""
+    places = spark.table(job.table("station_catalogue")).select("station_id", "lat", "lng")
+    known, name = job.table("searched_places"), job.table("stations_with_closest")
+    if spark.catalog.tableExists(known) and spark.catalog.tableExists(name):
+        if _unlike(places, spark.table(known)).isEmpty():
+            return
     catalogue = with_district(spark.table(job.table("station_catalogue")))
-    overwrite_table(nearest_k(catalogue, job.neighbours), job.table("stations_with_closest"))
+    overwrite_table(nearest_k(catalogue, job.neighbours), name)
+    overwrite_table(settle(places, "places"), known)
 
 
 def update_catalogue(spark: SparkSession, job: Job) -> None:
@@ -165,14 +290,7 @@ def update_catalogue(spark: SparkSession, job: Job) -> None:
         upsert(session, name, settle(latest, "catalogue"), ["station_id"], "shard")
 
     source = read_table_stream(spark, job.table("snapshots_silver"))
-    query = (
-        source.writeStream.queryName("catalogue_stream")
-        .trigger(availableNow=True)
-        .option("checkpointLocation", job.checkpoint("station_catalogue"))
-        .foreachBatch(take_in)
-        .start()
-    )
-    query.awaitTermination()
+    _each_batch(source, "catalogue_stream", job.checkpoint("station_catalogue"), take_in)
     spark.catalog.refreshTable(name)  # a stream writes in a session of its own
 
 
@@ -197,36 +315,53 @@ def build_gold(spark: SparkSession, job: Job) -> None:
 
 
 def build_labels(spark: SparkSession, job: Job) -> None:
-    """Labels of gold rows: of the dates of new gold and of those that look ahead to them."""
-    gold = spark.table(job.table("gold"))
+    """Labels of new and changed gold rows, and of the rows that look ahead to them.
+
+    Only new rows are taken up, and of gold only their days and those beside them are read.
+    """
     name = job.table("label")
     if not spark.catalog.tableExists(name):
-        create_feature_table(label_table(gold), name, ["station_id", "ts"])
-        return
-    known = spark.table(name).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
-    fresh = gold.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
-    grown = fresh.join(known, ["date", "n"], "left_anti").agg(F.min("date")).first()[0]
-    if grown is None:
-        return
-    # A day's last labels look into the next day.
-    since = F.date_sub(F.lit(grown), 1)
-    labels = with_partition_date(label_table(gold.filter(F.col("date") >= since)), "date", "ts")
-    upsert(spark, name, labels, ["station_id", "ts"])
+        empty = spark.table(job.table("gold")).limit(0)
+        create_feature_table(label_table(empty), name, KEYS)
+
+    def take(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        changed = batch.select(*KEYS).distinct()
+        before = F.col("ts") - F.make_interval(hours=F.lit(HOURS_AHEAD))
+        asked = changed.unionByName(changed.select("station_id", before.alias("ts"))).distinct()
+        asked = settle(with_partition_date(asked, "date", "ts"), "asked-labels")
+        days = _dates(asked)
+        ahead = [d + timedelta(days=1) for d in days]
+        gold = _on(current(session, job, "gold"), sorted({*days, *ahead}))
+        gold = gold.join(asked.select("station_id").distinct(), "station_id", "left_semi")
+        labels = with_partition_date(label_table(gold), "date", "ts")
+        labels = labels.join(asked.select(*KEYS), KEYS, "left_semi")
+        upsert(session, name, labels.select(*session.table(name).columns), KEYS)
+
+    for source in ("gold", "gold_changes"):
+        stream = read_table_stream(spark, job.table(source))
+        _each_batch(stream, f"label_{source}", job.checkpoint(f"label_{source}"), take)
+    spark.catalog.refreshTable(name)
 
 
 def build_features(spark: SparkSession, job: Job) -> None:
-    """New gold rows into the keyed feature table."""
-    name = job.table("features")
-    gold = spark.table(job.table("gold"))
+    """New and changed gold rows into the keyed feature table."""
+    name, gold = job.table("features"), job.table("gold")
     if not spark.catalog.tableExists(name):
-        create_feature_table(gold.drop("date").limit(0), name, ["station_id", "ts"])
-    upsert_stream(
-        read_table_stream(spark, job.table("gold")),
-        name,
-        ["station_id", "ts"],
-        job.checkpoint("features"),
-        "features_stream",
-    )
+        create_feature_table(spark.table(gold).drop("date").limit(0), name, KEYS)
+
+    def take(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        # A row that was changed meanwhile is taken as it now stands.
+        days = _dates(batch)
+        now = _on(current(session, job, "gold"), days)
+        rows = now.join(batch.select(*KEYS).distinct(), KEYS, "left_semi")
+        upsert(session, name, rows.select(*session.table(name).columns), KEYS)
+
+    for source in ("gold", "gold_changes"):
+        stream = read_table_stream(spark, job.table(source))
+        _each_batch(stream, f"features_{source}", job.checkpoint(f"features_{source}"), take)
+    spark.catalog.refreshTable(name)
 
 
 def train_models(spark: SparkSession, job: Job) -> None:
@@ -263,9 +398,9 @@ def run_all(spark: SparkSession, job: Job, path: str) -> None:
     refine_snapshots(spark, job)
     refine_stations(spark, job)
     build_gold(spark, job)
+    take_in_late(spark, job)
     build_labels(spark, job)
     note_bad_documents(spark, job)
-    note_late_readings(spark, job)
 
 
 def run_models(spark: SparkSession, job: Job) -> None:
@@ -288,10 +423,3 @@ def run_to_folder(df: DataFrame, name: str, folder: str) -> DataFrame:
     query.awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
 
-
-def late_rows(readings: DataFrame, kept: DataFrame) -> DataFrame:
-    """Readings of slots that a stream has dropped as too late (batch).
-
-    `readings` has slot starts as `ts`; `kept` is the table that the stream wrote.
-    """
-    return readings.join(kept.select("station_id", "ts"), ["station_id", "ts"], "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_snapshots import document, place, write_documents
 
 from snapflow.operators.features import gold_features
-from snapflow.operators.labels import label_table
+from snapflow.operators.labels import label_stream, label_table
 from snapflow.operators.nearest import nearest_k
 from snapflow.operators.snapshots import dedup_snapshots, flatten_places, place_readings, slot_counts
 from snapflow.operators.stations import station_catalogue, station_rows
@@ -18,12 +18,13 @@ from snapflow.streaming.jobs import (
     bronze,
     build_gold,
     ingest_documents,
-    note_late_readings,
+    current,
     refine_snapshots,
     refine_stations,
     run_all,
     run_models,
     run_to_folder,
+    take_in_late,
 )
 
 START = datetime(2024, 3, 14)
@@ -95,6 +96,7 @@ def test_chain_equals_batch_and_resumes(spark, tmp_path, folder):
         ("2024-03-14T00-05-00Z.json", "malformed"), ("notes.json", "no time"),
     ]
     assert spark.table(job.table("late_readings")).count() == 0
+    assert spark.table(job.table("gold_changes")).count() == 0
     properties = spark.sql(f"SHOW TBLPROPERTIES {job.table('gold')}").collect()
     assert ("quality", "gold") in {(r.key, r.value) for r in properties}
 
@@ -137,9 +139,80 @@ def test_late_scrape_within_the_delay_is_kept(spark, tmp_path, folder):
     refine_snapshots(spark, job)
     kept = spark.table(job.table("snapshots_silver"))
     assert kept.count() == 14
-    note_late_readings(spark, job)
-    missed = spark.table(job.table("late_readings"))
-    assert [(r.station_id, r.ts) for r in missed.collect()] == [(3, START)]
+    refine_stations(spark, job)
+    build_gold(spark, job)
+    for _ in range(2):  # nothing is taken in twice
+        take_in_late(spark, job)
+        missed = spark.table(job.table("late_readings"))
+        assert [(r.station_id, r.ts) for r in missed.collect()] == [(3, START)]
+        assert rows(current(spark, job, "snapshots_silver").drop("date")) == rows(
+            before(batch_snapshots(spark, path), 8)
+        )
+
+
+def test_late_minutes_give_the_batch_result(spark, tmp_path, folder):
+    """Minutes that come a run or two late: new slots, earlier readings of known slots,
+    ones that change nothing, and one for a station that its neighbours list."""
+    job = Job(schema="late_minutes_db", checkpoints=str(tmp_path / "ck"))
+    late = {(5, 2), (8, 0), (12, 9), (20, 0), (20, 2), (33, 0)}
+    times = [(n, m) for n in range(60) for m in (0, 2, 9) if (n + m) % 4 or (n, m) in late]
+
+    def document_of(n, m):
+        at = START + timedelta(minutes=10 * n + m)
+        places = [place(s, bikes=(7 * n + 3 * m + s) % 13, lat=47.5 + s / 100) for s in range(1, 7)]
+        return at.strftime("%Y-%m-%dT%H-%M-%SZ.json"), document(places)
+
+    def drop(some):
+        return write_documents(folder, dict(document_of(n, m) for n, m in some))
+
+    path = drop([t for t in times if t[0] < 45 and t not in late])
+    run_all(spark, job, path)
+    run_models(spark, job)
+    drop([t for t in times if t[0] >= 45 and t not in late] + [(12, 9), (20, 2)])
+    run_all(spark, job, path)
+    drop(sorted(late - {(12, 9), (20, 2)}))
+    run_all(spark, job, path)
+    run_models(spark, job)
+    snapshots = before(batch_snapshots(spark, path), 57)
+    assert rows(current(spark, job, "snapshots_silver").drop("date")) == rows(snapshots)
+    nearest = nearest_k(station_catalogue(snapshots))
+    gold = settle(gold_features(snapshots.select("station_id", "ts", "bikes"), nearest))
+    assert rows(current(spark, job, "gold").drop("date")) == rows(gold)
+    assert rows(spark.table(job.table("features")).drop("date")) == rows(gold)
+    assert rows(spark.table(job.table("label")).drop("date")) == rows(label_table(gold))
+    assert spark.table(job.table("late_readings")).count() > 0
+
+
+def test_labels_on_a_stream(spark, tmp_path, folder):
+    """Batch by batch, with a gap, and rows that are held no longer than they must."""
+    schema = "station_id long, ts timestamp, bikes long"
+    slots = [(s, START + timedelta(minutes=10 * n), (n * s) % 7) for s in (1, 2) for n in range(80) if n % 9]
+    path = str(folder / "slots")
+    out, state = str(tmp_path / "out"), []
+    for part in range(4):
+        some = [r for r in slots if 20 * part <= (r[1] - START).total_seconds() / 600 < 20 * part + 20]
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = label_stream(spark.readStream.schema(schema).parquet(path))
+        state += run_once(stream, out, str(tmp_path / "ck"))
+    found = spark.read.schema(stream.schema).parquet(out)
+    batch = label_table(spark.createDataFrame(slots, schema))
+    known = batch.filter(F.col("ts") + F.expr("INTERVAL 14410 SECONDS") < F.lit(START + timedelta(minutes=790)))
+    assert rows(found) == rows(known) and found.filter("label IS NULL").count() > 0
+    joins = [op for op in state if "Join" in op["operatorName"]]
+    assert max(op["numRowsTotal"] for op in joins) < 2 * len(slots)
+    assert sum(op["numRowsRemoved"] for op in joins) > 0
+
+
+def test_archived_files_are_gone_and_not_read_twice(spark, tmp_path, folder):
+    job = Job(schema="archive_db", checkpoints=str(tmp_path / "ck"), archive=str(tmp_path / "archive"))
+    path = str(folder)
+    for n in range(4):
+        write_documents(folder, dict([scrape(n, 2)]))
+        ingest_documents(spark, job, path)
+        ingest_documents(spark, job, path)
+    assert spark.table(job.table("jsons_bronze")).count() == 4
+    left, moved = list(folder.glob("*.json")), list((tmp_path / "archive").rglob("*.json"))
+    assert len(left) + len(moved) == 4 and len(left) <= 1
 
 
 def test_stream_dedup_equals_batch_and_forgets(spark, tmp_path, folder):
