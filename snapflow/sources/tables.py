@@ -2,6 +2,7 @@
 
 import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,22 +157,34 @@ def upsert(
     if None in touched:
         raise ValueError(f"updates without {partition_col}")
     merged = merge_rows(target.filter(F.col(partition_col).isin(touched)), updates, keys)
-    folder = f"{table_location(spark, table)}/_versions/{uuid.uuid4().hex}"
+    place = table_location(spark, table)
+    folder = f"{place}/_versions/{uuid.uuid4().hex}"
     merged.select(*target.columns).hint("rebalance", partition_col).write.partitionBy(
         partition_col
     ).parquet(folder)
-    former = []
+    known = {unquote(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    new = [value for value in touched if str(value) not in known]
+    if new:
+        specs = [f"PARTITION ({partition_col} = '{v}') LOCATION '{folder}/{partition_col}={v}'" for v in new]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs)}")
     for value in touched:
-        spec = f"{partition_col} = '{value}'"
-        place = f"{folder}/{partition_col}={value}"
-        if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").isEmpty():
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{place}'")
-        else:
-            former.append(table_location(spark, table, f"PARTITION ({spec})"))
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+        if str(value) in known:
+            spark.sql(
+                f"ALTER TABLE {table} PARTITION ({partition_col} = '{value}')"
+                f" SET LOCATION '{folder}/{partition_col}={value}'"
+            )
     spark.catalog.refreshTable(table)
-    for old in former:
-        remove_folder(spark, old)
+    homes = [place, *(f for f in _folders(spark, f"{place}/_versions") if f != folder)]
+    for value in touched:
+        for home in homes if str(value) in known else []:
+            remove_folder(spark, f"{home}/{partition_col}={value}")
+
+
+def _folders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [f"{folder}/{f.getPath().getName()}" for f in files.listStatus(path) if f.isDirectory()]
 
 
 def table_location(spark: SparkSession, table: str, partition: str = "") -> str:
