@@ -126,11 +126,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 NAMED = "scraped"
 
 
-def write_documents(spark: SparkSession, sf_dir: str, folder: str, late: bool | None = None) -> None:
+def write_documents(
+    spark: SparkSession,
+    sf_dir: str,
+    folder: str,
+    late: bool | None = None,
+    since: str | None = None,
+    until: str | None = None,
+) -> None:
     """Documents of each minute as JSON lines, a file for each day, every document with its
-    name; and a line that is malformed and a document without a time.
+    name; and, on the first day, a line that is malformed and a document without a time.
 
-    One document in nine is late: with `late` only those are written, or all the others.
+    One document in nine is late: with `late` only those are written, or all the others;
+    `since` and `until` are days, the latter left out.
     """
     docs = documents(spark, sf_dir).withColumnRenamed("filename", NAMED)
     lines = docs.select(
@@ -141,7 +149,11 @@ def write_documents(spark: SparkSession, sf_dir: str, folder: str, late: bool |
     if late is not None:
         lines = lines.filter(F.col("late") if late else ~F.col("late"))
     lines = lines.drop("late")
-    if not late:
+    if since is not None:
+        lines = lines.filter(F.col("day") >= since)
+    if until is not None:
+        lines = lines.filter(F.col("day") < until)
+    if not late and since is None:
         first = lines.agg(F.min("day").alias("day"))
         for text in ('{"countries": [', f'{{"countries": [], "{NAMED}": "notes"}}'):
             lines = lines.unionByName(first.select(F.lit(text).alias("value"), "day"))

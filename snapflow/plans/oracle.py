@@ -616,10 +616,11 @@ ORACLE: dict[str, str] = {
         "trained",
     ),
     "boosted_search": _sql(
-        """SELECT trial, CAST(floor((position - 1) * 6 / total) AS INTEGER) AS fold,
-                  count(*) AS row_count, false AS below_best
-           FROM tree_split, (SELECT unnest(range(20)) AS trial)
-           GROUP BY ALL HAVING fold > 0""",
+        """SELECT trial, fold, count(*) AS row_count, false AS below_best
+           FROM (SELECT CAST(floor((position - 1) * 6 / total) AS INTEGER) AS fold
+                 FROM tree_split),
+                (SELECT unnest(range(20)) AS trial)
+           WHERE fold > 0 GROUP BY trial, fold""",
         "tree_split",
     ),
     "table_modes": _sql("SELECT station_id, ts, bikes, maintenance FROM snapshots", "snapshots"),

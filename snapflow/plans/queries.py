@@ -80,7 +80,15 @@ from snapflow.sources.tables import (
     upsert,
     with_partition_date,
 )
-from snapflow.streaming.jobs import Job, current, run_all, run_models, run_to_folder
+from snapflow.streaming.jobs import (
+    Job,
+    backfill,
+    current,
+    ingest_documents,
+    run_all,
+    run_models,
+    run_to_folder,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -640,6 +648,9 @@ def q_json_inferred(spark, sf):
     return rounded(readings, 5, "lat", "lng")
 
 
+#: The chain's days before this one are its history.
+HISTORY = "2024-01-11"
+
 _CHAINS: dict[tuple, Job] = {}
 
 
@@ -653,16 +664,22 @@ def _files(spark, sf, *names: str) -> tuple:
 
 
 def _chain(spark, sf) -> Job:
-    """The chain of streams over the JSON files, in tables of its own: a run over most
-    documents, and another when those that are late have come. The tables are kept for
-    the queries of an application that look at them, by the files that they come from."""
+    """The chain over the JSON files, in tables of its own: the first days in batch, a run
+    of the streams over the others, and another when the documents that are late have
+    come, also of the first days. The tables are kept for the queries of an application
+    that look at them, by the files that they come from."""
     at = (spark.sparkContext.applicationId, *_files(spark, sf, "events", "supplier"))
     if at not in _CHAINS or not spark.catalog.tableExists(_CHAINS[at].table("label")):
         folder = shared_folder(spark, "chain")
         job = Job("chain_" + folder[-32:], f"{folder}/checkpoints", since=None, named=domain.NAMED)
-        for late in (False, True):
-            domain.write_documents(spark, sf, f"{folder}/documents", late)
-            run_all(spark, job, f"{folder}/documents")
+        path = f"{folder}/documents"
+        domain.write_documents(spark, sf, path, late=False, until=HISTORY)
+        ingest_documents(spark, job, path)
+        backfill(spark, job)
+        domain.write_documents(spark, sf, path, late=False, since=HISTORY)
+        run_all(spark, job, path)
+        domain.write_documents(spark, sf, path, late=True)
+        run_all(spark, job, path)
         run_models(spark, job)
         _CHAINS[at] = job
     return _CHAINS[at]

@@ -7,7 +7,8 @@ again after a failure: its checkpoint knows what it has taken up.
 Only the first stage bounds its micro-batches. A table's files of one write have no
 order in time, so a later stage that took them up piece by piece could find its own
 watermark ahead of rows still to come; it takes up all new files at once instead. A
-long history is therefore better loaded by the same operators in batch.
+long history is therefore better loaded in batch: `backfill` makes the tables up to a
+moment that it notes, and the streams go on from there.
 """
 
 from dataclasses import dataclass
@@ -16,7 +17,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.functions.times import scrape_time
+from snapflow.functions.times import scrape_time, slot_start
 from snapflow.operators.features import gold_features
 from snapflow.operators.labels import HOURS_AHEAD, feature_columns, label_table, training_set
 from snapflow.operators.linear import fit_and_evaluate
@@ -48,6 +49,7 @@ from snapflow.sources.tables import (
     create_feature_table,
     ensure_schema,
     overwrite_table,
+    reset_table,
     set_quality,
     settle,
     table_location,
@@ -136,9 +138,51 @@ def corrected(log: DataFrame, changes: DataFrame) -> DataFrame:
     return log.join(newest.select(*KEYS), KEYS, "left_anti").unionByName(newest)
 
 
+def handover(spark: SparkSession, job: Job):
+    """The moment from which on the streams have made the tables; None if always."""
+    name = job.table("handover")
+    return spark.table(name).first()[0] if spark.catalog.tableExists(name) else None
+
+
+def backfill(spark: SparkSession, job: Job) -> None:
+    """Snapshots, stations, gold and labels of the bronze table's history, in batch.
+
+    The moment of hand-over is the last that a stream would have passed on by now; slots
+    from then on are left to the streams, which begin after it. What the batch makes lies
+    in tables of its own, which `current` joins with those of the streams. It is done
+    once, before the streams; after a failure it may be done again.
+    """
+    if spark.catalog.tableExists(job.table("snapshots_silver")):
+        raise ValueError("the streams have begun")
+    docs = bronze(spark, job, stream=False)
+    readings = place_readings(flatten_places(docs), job.since)
+    newest = readings.agg(F.max(slot_start("ts"))).first()[0]
+    if newest is None:
+        return
+    moment = F.lit(newest) - F.expr(f"INTERVAL {job.delay}")
+    moment = spark.range(1).select(slot_start(moment).alias("moment")).first()[0]
+    history = dedup_snapshots(readings).filter(F.col("ts") < F.lit(moment))
+    silver = job.table("snapshots_silver_backfill")
+    overwrite_table(with_partition_date(history, "date", "ts"), silver, "date")
+    overwrite_table(station_rows(spark.table(silver)), job.table("stations_silver"))
+    overwrite_catalogue(spark, job, last_descriptions(spark.table(silver)))
+    update_nearest(spark, job)
+    nearest = spark.table(job.table("stations_with_closest"))
+    made = gold_features(spark.table(silver).select(*KEYS, "bikes"), nearest, job.neighbours)
+    overwrite_table(with_partition_date(made, "date", "ts"), job.table("gold_backfill"), "date")
+    gold = spark.table(job.table("gold_backfill")).drop("date")
+    for name, rows in (("label", label_table(gold)), ("features", gold)):
+        reset_table(spark, job.table(name), name)
+        create_feature_table(rows, job.table(name), KEYS)
+    noted = spark.createDataFrame([(moment,)], "moment timestamp")
+    overwrite_table(noted, job.table("handover"))
+
+
 def current(spark: SparkSession, job: Job, name: str) -> DataFrame:
-    """A table of the chain as it now stands, late readings included."""
+    """A table of the chain as it now stands, history and late readings included."""
     log, changes = spark.table(job.table(name)), job.table(f"{name}_changes")
+    if handover(spark, job) is not None:
+        log = log.unionByName(spark.table(job.table(f"{name}_backfill")))
     return corrected(log, spark.table(changes)) if spark.catalog.tableExists(changes) else log
 
 
@@ -175,8 +219,8 @@ def take_in_late(spark: SparkSession, job: Job) -> None:
         fresh = dedup_snapshots(place_readings(flatten_places(batch), job.since))
         fresh = settle(with_partition_date(fresh, "date", "ts"), "new-slots")
         # Slots after the newest that was passed on still wait for the watermark.
-        newest = session.table(job.table("snapshots_silver")).agg(F.max("ts")).first()[0]
         known = current(session, job, "snapshots_silver")
+        newest = known.agg(F.max("ts")).first()[0]
         passed = fresh.filter(F.col("ts") <= F.lit(newest))
         suspects = settle(_unlike(passed, _on(known, _dates(passed)).select(*passed.columns)), "suspects")
         days = _dates(suspects)
@@ -230,6 +274,9 @@ def refine_snapshots(spark: SparkSession, job: Job) -> None:
     """New documents into snapshots, partitioned by date."""
     docs = bronze(spark, job)
     readings = place_readings(flatten_places(docs), job.since)
+    moment = handover(spark, job)
+    if moment is not None:
+        readings = readings.filter(F.col("ts") >= F.lit(moment))
     dated = with_partition_date(dedup_snapshots(readings, job.delay), "date", "ts")
     name = job.table("snapshots_silver")
     append_stream(dated, name, job.checkpoint("snapshots_silver"), "snapshot_stream", "date")
@@ -270,6 +317,15 @@ def update_nearest(spark: SparkSession, job: Job) -> None:
     overwrite_table(settle(places, "places"), known)
 
 
+def _shard():
+    return F.pmod(F.xxhash64("station_id"), F.lit(CATALOGUE_SHARDS)).cast("int")
+
+
+def overwrite_catalogue(spark: SparkSession, job: Job, seen: DataFrame) -> None:
+    """The table of each station's latest description, from `last_descriptions`."""
+    overwrite_table(seen.withColumn("shard", _shard()), job.table("station_catalogue"), "shard")
+
+
 def update_catalogue(spark: SparkSession, job: Job) -> None:
     """Take new snapshots into the table of each station's latest description.
 
@@ -278,15 +334,13 @@ def update_catalogue(spark: SparkSession, job: Job) -> None:
     """
     name = job.table("station_catalogue")
     if not spark.catalog.tableExists(name):
-        empty = spark.createDataFrame([], CATALOGUE)
-        empty.write.partitionBy("shard").saveAsTable(name)
+        overwrite_catalogue(spark, job, spark.createDataFrame([], CATALOGUE).drop("shard"))
 
     def take_in(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         fresh = last_descriptions(batch)
         known = session.table(name).join(fresh, "station_id", "left_semi").drop("shard")
-        shard = F.pmod(F.xxhash64("station_id"), F.lit(CATALOGUE_SHARDS)).cast("int")
-        latest = latest_of(fresh.unionByName(known)).withColumn("shard", shard)
+        latest = latest_of(fresh.unionByName(known)).withColumn("shard", _shard())
         upsert(session, name, settle(latest, "catalogue"), ["station_id"], "shard")
 
     source = read_table_stream(spark, job.table("snapshots_silver"))

@@ -15,6 +15,7 @@ from snapflow.sources.readers import read_snapshot_stream, read_snapshots
 from snapflow.sources.tables import create_feature_table, settle, upsert_stream, with_partition_date
 from snapflow.streaming.jobs import (
     Job,
+    backfill,
     bronze,
     build_gold,
     ingest_documents,
@@ -183,6 +184,32 @@ def test_late_minutes_give_the_batch_result(spark, tmp_path, folder):
     assert spark.table(job.table("late_readings")).count() > 0
 
 
+def test_backfill_and_streams_give_the_batch_result(spark, tmp_path, folder):
+    """A history in batch, then streams from the moment of hand-over: no gap, no overlap."""
+    job = Job(schema="backfill_db", checkpoints=str(tmp_path / "ck"))
+    path = write_documents(folder, dict(scrape(n, 6, minute=m) for n in range(40) for m in (1, 8)))
+    ingest_documents(spark, job, path)
+    for _ in range(2):
+        backfill(spark, job)
+    assert spark.table(job.table("handover")).first()[0] == START + timedelta(minutes=360)
+    run_all(spark, job, path)
+    write_documents(folder, dict(scrape(n, 6, minute=m) for n in range(40, 55) for m in (0, 5)))
+    run_all(spark, job, path)
+    run_models(spark, job)
+    snapshots = before(batch_snapshots(spark, path), 52)
+    assert rows(current(spark, job, "snapshots_silver").drop("date")) == rows(snapshots)
+    streamed = spark.table(job.table("snapshots_silver"))
+    assert streamed.agg(F.min("ts")).first()[0] == START + timedelta(minutes=360)
+    gold = settle(gold_features(snapshots.select("station_id", "ts", "bikes"), nearest_k(station_catalogue(snapshots))))
+    assert rows(current(spark, job, "gold").drop("date")) == rows(gold)
+    assert rows(spark.table(job.table("features")).drop("date")) == rows(gold)
+    assert rows(spark.table(job.table("label")).drop("date")) == rows(label_table(gold))
+    assert rows(spark.table(job.table("stations_silver"))) == rows(station_rows(snapshots))
+    assert spark.table(job.table("late_readings")).count() == 0
+    with pytest.raises(ValueError):
+        backfill(spark, job)
+
+
 def test_labels_on_a_stream(spark, tmp_path, folder):
     """Batch by batch, with a gap, and rows that are held no longer than they must."""
     schema = "station_id long, ts timestamp, bikes long"
