@@ -4,7 +4,6 @@ import zlib
 from snapflow.llm.language import (
     LanguageModel,
     normalise,
-    once,
     predict_language,
     training_samples,
 )
@@ -77,5 +76,8 @@ def test_no_label_of_the_held_out_fold_is_read(spark):
     assert set(training_samples(spark.createDataFrame(rows, "doc_id long, text string, lang string"))) == {"aa"}
 
 
-def test_repeats_count_once():
-    assert once("One two. One two. Three!") == "one two three"
+def test_repeats_count_each_time():
+    rng = random.Random(9)
+    model = LanguageModel({lang: normalise(text_in(lang, rng, 300)) for lang in SYLLABLES})
+    most, few = text_in("aa", rng, 30), text_in("bb", rng, 60)
+    assert model.predict([few + " " + most, few + " " + most * 6])[0] == ["bb", "aa"]
