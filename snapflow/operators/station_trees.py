@@ -544,7 +544,7 @@ def search_station_trees(
         for r in candidates.collect()
         for fold in range(1, width)
     ]
-    trials = F.array(*[F.lit(t) for t in sorted({p.fit // width for p in parameters})])
+    trials = F.array(*[F.lit(t).cast("bigint") for t in sorted({p.fit // width for p in parameters})])
     spread = chunked.select("*", F.explode(trials).alias("trial"))
     folds = F.sequence(F.col("chunk") + 1, F.lit(last))
     learning = spread.filter(F.col("chunk") < last).select("*", F.explode(folds).alias("fold"))
