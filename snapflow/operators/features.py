@@ -19,7 +19,10 @@ def neighbour_bikes(snapshots: DataFrame, nearest: DataFrame, k: int = 5) -> Dat
     single stateful operator. In batch the snapshots are brought together by time
     first: a moment holds at most one row per station, so no moment is hot, and
     sending and aggregating then stay inside the task. `nearest` is as small as the
-    set of stations; Spark broadcasts it if its measured size allows.
+    set of stations; Spark broadcasts it if its measured size allows. A stream's snapshots
+    never are: a batch without new data still passes on what its state holds, which the
+    planner takes for nothing, and so for the smaller side. The left of an outer join is
+    not broadcast; what nobody lists falls out with the rows whose `listed` is null.
     """
     if not snapshots.isStreaming:
         snapshots = snapshots.repartition("ts")
@@ -29,7 +32,9 @@ def neighbour_bikes(snapshots: DataFrame, nearest: DataFrame, k: int = 5) -> Dat
         "posexplode(concat(array(station_id), slice(closest_stations, 1, "
         f"{k}))) AS (place, station_id)",
     )
-    sent = snapshots.select("station_id", "ts", "bikes").join(routes, "station_id")
+    sent = snapshots.select("station_id", "ts", "bikes").join(
+        routes, "station_id", "left" if snapshots.isStreaming else "inner"
+    )
     places = range(1, k + 1)
     met = sent.groupBy(F.col("target").alias("station_id"), "ts").agg(
         F.expr("max(CASE WHEN place = 0 THEN bikes END) AS bikes"),

@@ -284,6 +284,35 @@ def test_stream_slot_counts(spark, tmp_path, folder):
     assert rows(got) == rows(settled)
 
 
+def test_gold_stream_does_not_broadcast_its_snapshots(spark, tmp_path, folder):
+    """The batch without new data, in which the state passes on all slots; a station
+    that has no list, and one without a number."""
+    name, content = scrape(30, 3)
+    documents = {**dict(scrape(n, 4) for n in range(20)), name: content}
+    docs = read_snapshots(spark, write_documents(folder, documents), DOCUMENT)
+    nearest = nearest_k(station_catalogue(place_readings(flatten_places(docs))))
+    nearest = settle(nearest.filter("station_id <> 3"))
+
+    def readings(docs):
+        number = F.when(F.col("station_id") != 4, F.col("station_id"))
+        return place_readings(flatten_places(docs)).withColumn("station_id", number)
+
+    slots = slot_counts(readings(read_snapshot_stream(spark, str(folder), DOCUMENT)))
+    query = (
+        gold_features(slots, nearest)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "LocalTableScan <empty>" in plan and "BuildLeft" not in plan
+    batch = gold_features(slot_counts(readings(docs)), nearest)
+    found = spark.read.schema(batch.schema).parquet(str(tmp_path / "out"))
+    assert found.count() == 2 * 20 and rows(found) == rows(before(batch, 28))
+
+
 def test_upsert_from_a_stream(spark, tmp_path, folder):
     path = write_documents(folder, dict(scrape(n, 3) for n in range(10)))
     job = Job(schema="upsert_db", checkpoints=str(tmp_path / "ck"))
