@@ -5,7 +5,8 @@ a search) grow at the same time. Values are cut into bins once per fit and stati
 residuals are whole numbers of UNIT, so that sums are exact and in no order.
 
 A station of at most `local_rows` rows, a bounded group, has its trees grown in one place
-from those rows; one job does so for all such stations. Larger stations grow from sums
+from those rows, together with those of other stations; one job does so for all such
+stations. Larger stations grow from sums
 keyed by fit, station, node, feature and bin, which are combined before the shuffle, so
 that a station may hold any share of the rows: a step splits the open nodes of every
 station by one level, and a station whose tree is complete begins its next tree in the
@@ -38,6 +39,10 @@ BINS = 64
 DEEPEST = 60
 #: Rows of a station up to which its trees grow in one place.
 LOCAL_ROWS = 20_000
+#: Rows, of one station or many, whose trees grow together, and so those of a task.
+TOGETHER_ROWS = 1 << 14
+#: Rows times trees that are predicted at a time.
+TOGETHER_CELLS = 1 << 20
 #: Rows that are predicted together.
 SEAT_ROWS = 1 << 18
 
@@ -178,103 +183,144 @@ def _binned(given: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def best_splits(
-    x: np.ndarray, rest: np.ndarray, at: np.ndarray, nodes: int, bins: int, min_leaf: int
+    x: np.ndarray, rest: np.ndarray, at: np.ndarray, nodes: int, bins: int, min_leaf: np.ndarray
 ) -> tuple[np.ndarray, ...]:
     """The best split of each of `nodes` nodes, of which `at` names each row's.
 
     Returns feature, bin and gain (0 where there is none), and the rows and sums of the
-    node and of the left side.
+    node and of the left side. Rows are sorted by node, feature and bin, so that the work
+    goes with the rows, however many nodes and bins there are.
     """
-    width = x.shape[1]
-    cells = ((at[:, None] * width + np.arange(width)) * bins + x).ravel()
-    shape = (nodes, width, bins)
-    count = np.bincount(cells, minlength=nodes * width * bins).reshape(shape)
+    width, count = x.shape[1], len(rest)
+    low = max(1, int(count - 1).bit_length())
+    cells = (at[:, None] * width + np.arange(width)) * bins + x
+    cells = np.sort(((cells << low) | np.arange(count)[:, None]).ravel())
+    rows, cells = cells & ((1 << low) - 1), cells >> low
     # In whole numbers, in no order.
-    total = np.zeros(nodes * width * bins, np.int64)
-    np.add.at(total, cells, np.repeat(rest, width))
-    left_n, left_s = count.cumsum(axis=2), total.reshape(shape).cumsum(axis=2)
-    n, s = left_n[:, :1, -1:], left_s[:, :1, -1:]
-    fits = (count > 0) & (left_n >= min_leaf) & (n - left_n >= min_leaf)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        apart = left_s.astype(float) * n - s.astype(float) * left_n
-        gain = np.where(fits, apart * apart / (n.astype(float) * left_n * (n - left_n)), 0.0)
-    flat = gain.reshape(nodes, -1)
-    best = flat.argmax(axis=1)
-    each = np.arange(nodes)
-    side = [z.reshape(nodes, -1)[each, best] for z in (left_n, left_s)]
-    return best // bins, best % bins, flat[each, best], n.ravel(), s.ravel(), *side
-
-
-def boosted(x: np.ndarray, rest: np.ndarray, p: Trees, bins: int) -> list[tuple]:
-    """All trees of one station: a tuple per split node, in the order of NODE, less fit."""
+    so_far = np.cumsum(rest[rows])
+    n = np.bincount(at, minlength=nodes)
+    # Each node has its rows once per feature, feature by feature.
+    first = np.concatenate([[0], np.cumsum(n * width)[:-1]])
+    s = so_far[first + n - 1] - np.where(first > 0, so_far[first - 1], 0)
+    last = np.flatnonzero(np.append(cells[1:] != cells[:-1], True))
+    cell = cells[last]
+    node = cell // (bins * width)
+    start = first[node] + cell // bins % width * n[node]
+    left_n = last + 1 - start
+    fits = (left_n >= min_leaf[node]) & (n[node] - left_n >= min_leaf[node])
+    last, cell, node, start, left_n = (z[fits] for z in (last, cell, node, start, left_n))
+    left_s = so_far[last] - np.where(start > 0, so_far[start - 1], 0)
+    all_n = n[node].astype(float)
+    apart = left_s.astype(float) * all_n - s[node].astype(float) * left_n
+    gain = apart * apart / (all_n * left_n * (n[node] - left_n))
+    best = np.zeros((5, nodes), np.int64)
+    most = np.zeros(nodes)
+    if len(node):
+        begins = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        most[node[begins]] = np.maximum.reduceat(gain, begins)
+        # Of equal ones the first, which has the lower feature and bin.
+        top = np.flatnonzero(gain == most[node])
+        top = top[np.append(True, node[top][1:] != node[top][:-1])]
+        chosen = (cell[top] // bins % width, cell[top] % bins, left_n[top], left_s[top])
+        for i, z in enumerate(chosen):
+            best[i, node[top]] = z
+    return best[0], best[1], most, n, s, best[2], best[3]
+
+
+def boosted(
+    x: np.ndarray, rest: np.ndarray, of: np.ndarray, tuned: list[Trees], bins: int
+) -> list[np.ndarray]:
+    """All trees of some stations, `of` naming each row's and `tuned` having a line for
+    each, tree by tree and level by level: arrays of the station and then of the columns
+    of NODE, less fit."""
     found, rest = [], rest.copy()
-    for tree in range(p.trees):
+    trees, max_depth, min_leaf = (
+        np.array([getattr(p, c) for p in tuned], np.int64) for c in ("trees", "max_depth", "min_leaf")
+    )
+    rate = np.array([p.rate for p in tuned])
+    alive, tree = np.arange(len(rest)), 0
+    while len(alive := alive[trees[of[alive]] > tree]):
         node = np.ones(len(x), np.int64)
         step = np.zeros(len(x), np.int64)
-        rows, depth = np.arange(len(x)), 0
-        while len(rows) and depth < p.max_depth:
-            names, at = np.unique(node[rows], return_inverse=True)
+        rows, depth = alive, 0
+        # Rows of a node have one number, `at`; `station` and `name` are of that number.
+        station, at = np.unique(of[rows], return_inverse=True)
+        name = np.ones(len(station), np.int64)
+        while len(rows):
             feature, cut, gain, n, s, left_n, left_s = best_splits(
-                x[rows], rest[rows], at, len(names), bins, p.min_leaf
+                x[rows], rest[rows], at, len(name), bins, min_leaf[station]
             )
             split = gain > 0
             right_n, right_s = n - left_n, s - left_s
             with np.errstate(divide="ignore", invalid="ignore"):
-                left_step = np.floor(np.where(split, p.rate * left_s / left_n, 0) + 0.5).astype(np.int64)
-                right_step = np.floor(np.where(split, p.rate * right_s / right_n, 0) + 0.5).astype(np.int64)
-            for i in np.flatnonzero(split):
-                found.append(
-                    (tree, int(names[i]), int(feature[i]), int(cut[i]), float(gain[i]), int(n[i]),
-                     int(left_n[i]), int(left_step[i]), int(right_step[i]))
-                )
+                left_step, right_step = (
+                    np.floor(np.where(split, rate[station] * side_s / side_n, 0) + 0.5).astype(np.int64)
+                    for side_s, side_n in ((left_s, left_n), (right_s, right_n))
+                )
+            each = [station, np.full(len(name), tree), name, feature, cut, gain, n, left_n, left_step, right_step]
+            found.append([z[split] for z in each])
             rows, at = rows[split[at]], at[split[at]]
             left = x[rows, feature[at]] <= cut[at]
             node[rows] = 2 * node[rows] + ~left
             step[rows] = np.where(left, left_step[at], right_step[at])
-            rows = rows[np.where(left, left_n[at], right_n[at]) >= 2 * p.min_leaf]
             depth += 1
-        if depth == 0 or not (node > 1).any():
-            break
+            more = np.where(left, left_n[at], right_n[at]) >= 2 * min_leaf[station[at]]
+            more &= max_depth[station[at]] > depth
+            rows, at, left = rows[more], at[more], left[more]
+            sides, at_side = np.unique(2 * at + ~left, return_inverse=True)
+            station, name, at = station[sides >> 1], 2 * name[sides >> 1] + (sides & 1), at_side
         rest -= step
-    return found
+        # A station whose root is not split has all its trees.
+        alive = alive[node[alive] > 1]
+        tree += 1
+    return [np.concatenate(z) for z in zip(*found)] if found else []
 
 
 def _grown_locally(ready: DataFrame, parameters: list[Trees], bins: int) -> DataFrame:
-    """The nodes of stations, the rows of each of which fit into one task."""
+    """The nodes of stations, the rows of each of which fit into one task; there the trees
+    of many stations grow at a time."""
     kind = ready.schema["key"].dataType.simpleString()
     tuned = {p.fit: p for p in parameters}
-    in_order = ready.select("fit", "key", "x", "rest").repartition("fit", "key")
+    # As many tasks as the work needs: its rows are few bytes, but are gone over for each tree.
+    count = ready.count()
+    tasks = max(ready.sparkSession.sparkContext.defaultParallelism, -(-count // TOGETHER_ROWS))
+    in_order = ready.select("fit", "key", "x", "rest").repartition(tasks, "fit", "key")
     in_order = in_order.sortWithinPartitions("fit", "key")
 
-    def run(batches):
-        station, held = None, []
-
-        def grown():
-            rows = pa.Table.from_batches(held)
-            x = np.concatenate([c.flatten().to_numpy() for c in rows.column("x").chunks])
-            rest = rows.column("rest").to_numpy()
-            fit, key = station
-            nodes = boosted(x.reshape(len(rest), -1).astype(np.int64), rest, tuned[fit], bins)
-            columns = list(zip(*nodes)) if nodes else [[]] * (len(NODE_NAMES) - 1)
-            arrays = [pa.array([fit] * len(nodes), pa.int32())]
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), *[pa.int64()] * 4]
-            arrays += [pa.array(c, t) for c, t in zip(columns, kinds)]
-            arrays.append(pa.array([key] * len(nodes), rows.schema.field("key").type))
-            return pa.RecordBatch.from_arrays(arrays, names=[*NODE_NAMES, "key"])
+    def grown(held, fits, keys):
+        table = pa.Table.from_batches([batch for batch, _ in held])
+        of = np.concatenate([numbers for _, numbers in held])
+        x = np.concatenate([c.flatten().to_numpy() for c in table.column("x").chunks])
+        rest = table.column("rest").to_numpy()
+        nodes = boosted(x.reshape(len(rest), -1).astype(np.int64), rest, of, [tuned[f] for f in fits], bins)
+        if not nodes:
+            return
+        station, *columns = nodes
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), *[pa.int64()] * 4]
+        arrays = [pa.array(np.array(fits)[station], pa.int32())]
+        arrays += [pa.array(c, pa.int64() if c.dtype == np.int64 else t).cast(t) for c, t in zip(columns, kinds)]
+        arrays.append(pa.array(keys, table.schema.field("key").type).take(pa.array(station)))
+        yield pa.RecordBatch.from_arrays(arrays, names=[*NODE_NAMES, "key"])
 
+    def run(batches):
+        # Batches and the number of each row's station; the fits and keys of those stations.
+        held, fits, keys, size = [], [], [], 0
         for batch in filter(len, batches):
-            fits, keys = batch.column("fit").to_pylist(), batch.column("key").to_pylist()
-            start = 0
-            for i, here in enumerate(zip(fits, keys)):
-                if here != station:
-                    if i > start:
-                        held.append(batch.slice(start, i - start))
-                    if held:
-                        yield grown()
-                    station, held, start = here, [], i
-            held.append(batch.slice(start))
+            start, numbers = 0, []
+            for i, here in enumerate(zip(batch.column("fit").to_pylist(), batch.column("key").to_pylist())):
+                if not fits or here != (fits[-1], keys[-1]):
+                    if size + i - start >= TOGETHER_ROWS:
+                        if i > start:
+                            held.append((batch.slice(start, i - start), numbers))
+                        yield from grown(held, fits, keys)
+                        held, fits, keys, size, start, numbers = [], [], [], 0, i, []
+                    fits.append(here[0])
+                    keys.append(here[1])
+                numbers.append(len(fits) - 1)
+            held.append((batch.slice(start), numbers))
+            size += len(numbers)
         if held:
-            yield grown()
+            yield from grown(held, fits, keys)
 
     return in_order.mapInArrow(run, f"{NODE}, key {kind}")
 
@@ -410,7 +456,7 @@ def predict_station_trees(rows: DataFrame, model: StationTrees) -> DataFrame:
 
     Rows without the key or a feature, or whose station was not learned, are left out. A
     station's rows are spread over as many seats as their number needs, to each of which
-    its nodes are sent; there a tree is applied to many rows at a time.
+    its nodes are sent; there all trees are applied to many rows at a time.
     """
     asked = rows.select(
         F.col("fit").cast("int").alias("fit"),
@@ -452,7 +498,7 @@ def predict_station_trees(rows: DataFrame, model: StationTrees) -> DataFrame:
                     trees.append((part.column("tree").to_numpy(), part.column("node").to_numpy(), v))
                     continue
                 if seen is None:
-                    seen = _by_tree(trees)
+                    seen = _joined(trees)
                 p = part.column("start").to_numpy() + applied(v, seen)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(p * UNIT, pa.float64())], names=["row", "prediction"]
@@ -462,28 +508,37 @@ def predict_station_trees(rows: DataFrame, model: StationTrees) -> DataFrame:
     return out.select("row.*", "prediction")
 
 
-def _by_tree(parts: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Nodes and their facts, tree by tree."""
+def _joined(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """The nodes of all trees, by tree and node: their facts, the places of their left and
+    right children (-1 for a leaf), and the places of the roots."""
     if not parts:
-        return []
+        return np.zeros((0, 4)), np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
     tree, node, facts = (np.concatenate(x) for x in zip(*parts))
-    cuts = np.flatnonzero(np.diff(tree)) + 1
-    return list(zip(np.split(node, cuts), np.split(facts, cuts)))
-
-
-def applied(v: np.ndarray, trees: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The sum of the steps that trees (nodes, ascending, and facts) give to rows `v`."""
+    names, number = np.unique(node, return_inverse=True)
+    own = tree.astype(np.int64) * len(names) + number
+    below = np.flatnonzero(node > 1)
+    above = tree[below].astype(np.int64) * len(names) + np.searchsorted(names, node[below] >> 1)
+    children = np.full((len(node), 2), -1)
+    children[np.searchsorted(own, above), node[below] & 1] = below
+    return facts, children, np.flatnonzero(node == 1)
+
+
+def applied(v: np.ndarray, trees: tuple[np.ndarray, ...]) -> np.ndarray:
+    """The sum of the steps that trees, as `_joined` has them, give to rows `v`: whole
+    numbers, in no order. All trees are applied at a time."""
+    facts, children, roots = trees
     total = np.zeros(len(v))
-    for nodes, facts in trees:
-        at, step, rows = np.ones(len(v), np.int64), np.zeros(len(v)), np.arange(len(v))
+    some = max(1, TOGETHER_CELLS // max(1, len(roots)))
+    for first in range(0, len(v), some):
+        count = min(some, len(v) - first)
+        rows, at = np.repeat(np.arange(first, first + count), len(roots)), np.tile(roots, count)
         while len(rows):
-            i = np.minimum(np.searchsorted(nodes, at[rows]), len(nodes) - 1)
-            split = nodes[i] == at[rows]
-            rows, i = rows[split], i[split]
-            left = v[rows, facts[i, 0].astype(np.int64)] <= facts[i, 1]
-            step[rows] = np.where(left, facts[i, 2], facts[i, 3])
-            at[rows] = 2 * at[rows] + ~left
-        total += step
+            left = v[rows, facts[at, 0].astype(np.int64)] <= facts[at, 1]
+            step = np.where(left, facts[at, 2], facts[at, 3])
+            at = children[at, 1 - left.astype(np.int64)]
+            leaf = at < 0
+            total += np.bincount(rows[leaf], step[leaf], minlength=len(v))
+            rows, at = rows[~leaf], at[~leaf]
     return total
 
 

@@ -13,6 +13,7 @@ from snapflow.operators.station_trees import (
     REFIT,
     UNIT,
     Trees,
+    boosted,
     evaluate_and_refit_trees,
     fit_station_trees,
     predict_station_trees,
@@ -193,3 +194,30 @@ def test_search_scores_every_trial_and_fold(spark):
     told = predict_station_trees(chunked.filter("chunk = 1").withColumn("fit", F.lit(0)), model)
     errors = [(r.label - r.prediction) ** 2 for r in told.collect()]
     assert np.isclose(rows[1, 1].rmse, np.sqrt(np.mean(errors)), rtol=1e-12)
+
+
+def test_stations_grow_together_as_each_alone():
+    """Stations and fits of unlike parameters in one call, and one that has no split."""
+    rng = np.random.default_rng(5)
+    tuned = [Trees(f, trees, depth, leaf) for f, (trees, depth, leaf) in enumerate([(9, 30, 1), (4, 2, 3), (6, 5, 8)])]
+    sizes = [40, 25, 31]
+    x = [rng.integers(0, 12, (n, 3)) for n in sizes] + [np.zeros((10, 3), np.int64)]
+    rest = [rng.integers(-1 << 22, 1 << 22, len(a)) for a in x]
+    tuned.append(Trees(3))
+    of = np.repeat(np.arange(4), [len(a) for a in x])
+    calls = []
+    sort, np.sort = np.sort, lambda *a, **k: calls.append(1) or sort(*a, **k)
+    try:
+        together = boosted(np.concatenate(x), np.concatenate(rest), of, tuned, 64)
+        few = len(calls)
+        alone = [boosted(a, r, np.zeros(len(r), np.int64), [p], 64) for a, r, p in zip(x, rest, tuned)]
+    finally:
+        np.sort = sort
+    assert set(together[0]) == {0, 1, 2} and len(alone[3][0]) == 0
+    for station in range(3):
+        mine = [sorted(zip(*(z[m].tolist() for z in found[1:]))) for found, m in (
+            (together, together[0] == station), (alone[station], slice(None)),
+        )]
+        assert mine[0] == mine[1] and len(mine[0]) > 4
+    # A level of all stations is one step: no more steps than the deepest station has.
+    assert few < len(calls) - few
