@@ -3,7 +3,8 @@
 Places become points on the unit sphere, cut into cubes that halve in size level
 by level. A station looks for its neighbours at the finest level where its own cube
 holds more than `k` stations. The k-th neighbour can then be no farther than that
-cube's farthest corner, so the cubes of the same size within that reach hold all it
+cube's farthest corner, nor than the k-th nearest of the stations that stand beside it in
+the order of a curve; so the cubes of the same size within that reach hold all it
 needs. Dense quarters are searched in small cubes and empty country in large ones.
 A cube whose halves are crowded is home to the few stations of its empty halves only,
 so however many stations a cube holds, few are compared with all of them.
@@ -114,11 +115,13 @@ def _search(listed: DataFrame, k: int) -> DataFrame:
         .filter("station_id <> other_station_id")
         .withColumn("chord2", F.expr(chord2))
         .filter("chord2 <= reach2")
-        .withColumn("rank", F.row_number().over(nearer))
-        .filter(F.col("rank") <= k)
+        # What is ranked is shuffled: no more of it than its rank and the result need.
         .select(
-            "station_id", "other_station_id", "rank", metres.cast("int").alias("distance_meters")
+            "station_id", "other_station_id", "chord2", metres.cast("int").alias("distance_meters")
         )
+        .withColumn("rank", F.row_number().over(nearer))
+        .filter(F.col("rank") <= k)
+        .select("station_id", "other_station_id", "rank", "distance_meters")
     )
 
 
@@ -144,13 +147,16 @@ def _with_home(spots: DataFrame, k: int) -> DataFrame:
 
     With no more than `k` stations in all, the search starts from the whole.
     """
-    # The margin keeps rounding from hiding a cube or a station.
     reach2 = " + ".join(f"pow({_FAR.format(a=a)}, 2)" for a in "xyz")
     return (
         spots.join(_home_levels(spots, k), "station_id", "left")
         .withColumn("level", F.coalesce("level", F.lit(0)))
         .selectExpr("*", *_CUBE_AT_LEVEL)
-        .withColumn("reach2", F.expr(f"({reach2}) * (1 + 1e-9) + 1e-28"))
+        # The margin keeps rounding from hiding a cube or a station, also at the very reach.
+        .withColumn(
+            "reach2", F.expr(f"pow(sqrt(least({reach2}, near2)) * (1 + 1e-9) + 1e-14, 2)")
+        )
+        .drop("qx", "qy", "qz", "near2")
     )
 
 
@@ -162,21 +168,24 @@ def _home_levels(spots: DataFrame, k: int) -> DataFrame:
     follow one another, that station among them, do not leave it. So stations are put
     in that order, spread over all tasks by its ranges, and each looks `k` places to either
     side. Where two ranges meet, the last and first `k` are looked at once more, together.
+
+    `near2` is the squared distance of the k-th nearest of those that it looks at, and so
+    no less than that of its k-th neighbour; null where they are fewer.
     """
     order = ["curve", "curve_rest", "station_id"]
     ends = [f"{_spread(f'q{a} >> 9')} << {i}" for i, a in enumerate("zyx")]
     rest = [f"{_spread(f'q{a} & 511')} << {i}" for i, a in enumerate("zyx")]
     placed = spots.selectExpr(
-        "station_id", "qx", "qy", "qz",
+        "station_id", "qx", "qy", "qz", "x", "y", "z",
         f"({ends[0]}) | ({ends[1]}) | ({ends[2]}) AS curve",
         f"({rest[0]}) | ({rest[1]}) | ({rest[2]}) AS curve_rest",
     )
     ranges = placed.repartitionByRange(*order).sortWithinPartitions(*order)
     found = settle(_levels(ranges, k), "levels")
     # As many rows as there are ranges, times 2 k.
-    edges = found.filter("edge").drop("level", "edge").coalesce(1).sortWithinPartitions(*order)
+    edges = found.filter("edge").drop("level", "near2", "edge").coalesce(1).sortWithinPartitions(*order)
     both = found.unionByName(_levels(edges, k))
-    return both.groupBy("station_id").agg(F.max("level").alias("level"))
+    return both.groupBy("station_id").agg(F.max("level").alias("level"), F.min("near2").alias("near2"))
 
 
 def _spread(number: str) -> str:
@@ -198,11 +207,13 @@ _SPREAD = [
 
 
 def _levels(in_order: DataFrame, k: int) -> DataFrame:
-    """Rows in the order of the curve with the level that their neighbours in the same task
-    give, and whether they are among the first or last `k` there (edge)."""
+    """Rows in the order of the curve with the level and the reach (near2) that their
+    neighbours in the same task give, and whether they are among the first or last `k`
+    there (edge)."""
     names = in_order.columns
 
-    def out(rows, levels, start: int, end: int, first: int, n: int | None):
+    def out(rows, start: int, end: int, first: int, n: int | None):
+        levels, near2 = _window_levels(rows, k), _window_reach(rows, k)[start:end]
         part = rows.slice(start, end - start)
         at = first + np.arange(start, end)
         edge = at < k
@@ -212,9 +223,10 @@ def _levels(in_order: DataFrame, k: int) -> DataFrame:
             [
                 *[part.column(c).combine_chunks() for c in names],
                 pa.array(levels[start:end], pa.int32(), mask=levels[start:end] < 0),
+                pa.array(near2, pa.float64(), mask=np.isinf(near2)),
                 pa.array(edge),
             ],
-            names=[*names, "level", "edge"],
+            names=[*names, "level", "near2", "edge"],
         )
 
     def run(batches):
@@ -225,15 +237,15 @@ def _levels(in_order: DataFrame, k: int) -> DataFrame:
             # All but the last k have seen all that follow.
             ready = len(rows) - k
             if ready > done:
-                yield out(rows, _window_levels(rows, k), done, ready, first, None)
+                yield out(rows, done, ready, first, None)
                 keep = max(0, ready - k)
                 rows, first, done = rows.slice(keep), first + keep, ready - keep
         if rows is not None:
             n = first + len(rows)
-            yield out(rows, _window_levels(rows, k), done, len(rows), first, n)
+            yield out(rows, done, len(rows), first, n)
 
     kinds = ", ".join(f"{c} {kind}" for c, kind in in_order.dtypes)
-    return in_order.mapInArrow(run, f"{kinds}, level int, edge boolean")
+    return in_order.mapInArrow(run, f"{kinds}, level int, near2 double, edge boolean")
 
 
 def _window_levels(rows: pa.Table, k: int) -> np.ndarray:
@@ -252,6 +264,18 @@ def _window_levels(rows: pa.Table, k: int) -> np.ndarray:
     return levels
 
 
+def _window_reach(rows: pa.Table, k: int) -> np.ndarray:
+    """Per row, the squared distance of the k-th nearest of those that stand up to `k`
+    places beside it; infinite where they are fewer."""
+    n = len(rows)
+    near2 = np.full((n, 2 * k), np.inf)
+    axes = [rows.column(a).to_numpy() for a in "xyz"]
+    for i in range(1, min(k, n - 1) + 1):
+        x, y, z = (a[i:] - a[: n - i] for a in axes)
+        near2[: n - i, i - 1] = near2[i:, k + i - 1] = x * x + y * y + z * z
+    return np.partition(near2, k - 1, axis=1)[:, k - 1]
+
+
 _CUBE_AT_LEVEL = [
     f"cast(shiftright(q{a}, {FINEST_LEVEL} - level) as int) AS c{a}" for a in "xyz"
 ]

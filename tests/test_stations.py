@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from snapflow.functions.geo import distance_m
 from snapflow.operators.checks import check_list_length, list_length
-from snapflow.operators.nearest import nearest_k, nearest_pairs, station_distances, with_closest
+from snapflow.operators.nearest import (
+    _located,
+    _with_home,
+    nearest_k,
+    nearest_pairs,
+    station_distances,
+    with_closest,
+)
 from snapflow.operators.stations import station_catalogue, station_rows
 
 
@@ -147,3 +154,17 @@ def test_list_checks(spark):
     assert {(r.length, r.row_count) for r in list_length(df, "ids").collect()} == {
         (2, 1), (1, 1), (None, 1),
     }
+
+
+def test_few_stations_lie_within_the_reach_of_a_search(spark):
+    """The reach holds the k nearest, and not many more: what lies in it is shuffled."""
+    k, places = 5, city(7, 1500)
+    spots = _located(frame(spark, places))
+    points = {r.station_id: (r.x, r.y, r.z) for r in spots.collect()}
+    held = []
+    for r in _with_home(spots, k).collect():
+        p = points[r.station_id]
+        near = [sum((a - b) ** 2 for a, b in zip(p, q)) for q in points.values()]
+        held.append(sum(d <= r.reach2 for d in near) - 1)
+    assert min(held) >= k
+    assert sum(held) < 40 * len(held)
