@@ -6,6 +6,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from snapflow.operators.checks import check_unique
@@ -78,9 +79,12 @@ def overwrite_table(df: DataFrame, table: str, partition_by: str | None = None)
     writer.saveAsTable(table)
 
 
-def append_rows(df: DataFrame, table: str) -> None:
+def append_rows(df: DataFrame, table: str, partition_by: str | None = None) -> None:
     """Append to `table`, which is made if it does not exist."""
-    df.write.mode("append").saveAsTable(table)
+    writer = df.write.mode("append")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.saveAsTable(table)
 
 
 def create_table(df: DataFrame, table: str, mode: str = "error") -> None:
@@ -143,10 +147,7 @@ def upsert(
     `partition_col` to follow from the keys. The distinct partition values of the
     updates, a line per partition, are fetched to name the partitions to the scan.
 
-    A partition's new rows are written whole to a folder of their own before the
-    catalog is told of it, one partition after the other, and former folders go at the
-    end. So a failure at any time leaves every partition old or new, running it again
-    changes nothing more, and it may serve `foreachBatch`.
+    It may be repeated after a failure, and so may serve `foreachBatch`.
     """
     updates = settle(updates, "updates")
     require_unique(updates, keys)
@@ -157,22 +158,46 @@ def upsert(
     if None in touched:
         raise ValueError(f"updates without {partition_col}")
     merged = merge_rows(target.filter(F.col(partition_col).isin(touched)), updates, keys)
+    replace_partitions(spark, table, merged, touched, partition_col)
+
+
+def replace_partitions(
+    spark: SparkSession,
+    table: str,
+    rows: DataFrame,
+    touched: list,
+    partition_col: str = "date",
+    keys: list[str] | None = None,
+) -> None:
+    """Put `rows` in place of the partitions `touched`, of which they are all rows.
+
+    With `keys`, rows that share a key are refused.
+
+    A partition's new rows are written whole to a folder of their own before the
+    catalog is told of it, one partition after the other, and former folders go at the
+    end. So a failure at any time leaves every partition old or new, and running it again
+    changes nothing more.
+    """
     place = table_location(spark, table)
     folder = f"{place}/_versions/{uuid.uuid4().hex}"
-    merged.select(*target.columns).hint("rebalance", partition_col).write.partitionBy(
-        partition_col
-    ).parquet(folder)
+    rows = rows.select(*spark.table(table).columns)
+    rows.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(folder)
+    if keys is not None:
+        kept = [f for f in rows.schema.fields if f.name in keys]
+        require_unique(spark.read.schema(T.StructType(kept)).parquet(folder), keys)
+    written = {unquote(f.rsplit("=", 1)[1]) for f in _folders(spark, folder)}
     known = {unquote(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    new = [value for value in touched if str(value) not in known]
+    new = [v for v in touched if str(v) in written and str(v) not in known]
     if new:
         specs = [f"PARTITION ({partition_col} = '{v}') LOCATION '{folder}/{partition_col}={v}'" for v in new]
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs)}")
     for value in touched:
         if str(value) in known:
-            spark.sql(
-                f"ALTER TABLE {table} PARTITION ({partition_col} = '{value}')"
-                f" SET LOCATION '{folder}/{partition_col}={value}'"
-            )
+            to = f"SET LOCATION '{folder}/{partition_col}={value}'"
+            if str(value) in written:
+                spark.sql(f"ALTER TABLE {table} PARTITION ({partition_col} = '{value}') {to}")
+            else:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = '{value}')")
     spark.catalog.refreshTable(table)
     homes = [place, *(f for f in _folders(spark, f"{place}/_versions") if f != folder)]
     for value in touched:

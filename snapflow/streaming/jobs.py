@@ -49,6 +49,7 @@ from snapflow.sources.tables import (
     create_feature_table,
     ensure_schema,
     overwrite_table,
+    replace_partitions,
     reset_table,
     set_quality,
     settle,
@@ -183,7 +184,9 @@ def current(spark: SparkSession, job: Job, name: str) -> DataFrame:
     log, changes = spark.table(job.table(name)), job.table(f"{name}_changes")
     if handover(spark, job) is not None:
         log = log.unionByName(spark.table(job.table(f"{name}_backfill")))
-    return corrected(log, spark.table(changes)) if spark.catalog.tableExists(changes) else log
+    if not spark.catalog.tableExists(changes) or spark.table(changes).isEmpty():
+        return log
+    return corrected(log, spark.table(changes))
 
 
 def _dates(df: DataFrame, column: str = "date") -> list:
@@ -351,71 +354,88 @@ def update_catalogue(spark: SparkSession, job: Job) -> None:
 def build_gold(spark: SparkSession, job: Job) -> None:
     """New snapshots into feature rows.
 
-    The stream of snapshots passes slots on in order, each whole, so that no delay is
-    needed here.
+    The stream of snapshots passes a slot on once and whole, and a micro-batch here takes
+    up all that it has written, so that each has all rows of its moments: no state is
+    held. Rows that gold has, after a failure, are not appended again.
     """
-    snapshots = (
-        read_table_stream(spark, job.table("snapshots_silver"))
-        .select("station_id", "ts", "bikes")
-        .withWatermark("ts", "0 seconds")
-    )
-    nearest = spark.table(job.table("stations_with_closest"))
-    gold = with_partition_date(
-        gold_features(snapshots, nearest, job.neighbours), "date", "ts"
-    )
     name = job.table("gold")
-    append_stream(gold, name, job.checkpoint("gold"), "gold_stream", "date")
+    if not spark.catalog.tableExists(name):
+        snapshots = spark.table(job.table("snapshots_silver"))
+        kind = _gold_of(spark, job, snapshots).schema
+        overwrite_table(spark.createDataFrame([], kind), name, "date")
+
+    def take(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        made = _gold_of(session, job, batch)
+        known = _on(session.table(name), _dates(batch))
+        if not known.isEmpty():
+            made = made.join(known.select(*KEYS), KEYS, "left_anti").select(*known.columns)
+        append_rows(made.hint("rebalance", "date"), name, "date")
+
+    source = read_table_stream(spark, job.table("snapshots_silver"))
+    _each_batch(source, "gold_stream", job.checkpoint("gold"), take)
+    spark.catalog.refreshTable(name)
     set_quality(spark, name, "gold", "Features per station and slot")
 
 
+def _gold_of(spark: SparkSession, job: Job, snapshots: DataFrame) -> DataFrame:
+    nearest = spark.table(job.table("stations_with_closest"))
+    made = gold_features(snapshots.select(*KEYS, "bikes"), nearest, job.neighbours)
+    return with_partition_date(made, "date", "ts")
+
+
+def _each_changed_day(spark: SparkSession, job: Job, name: str, take) -> None:
+    """Give the days of gold rows that are new or changed to `take`, once for all of them.
+
+    `name` is that of the table that follows from gold, whose days `take` makes again.
+    """
+
+    def days_of(batch: DataFrame, _: int) -> None:
+        days = _dates(batch)
+        if days:
+            take(batch.sparkSession, days)
+
+    new, changed = (read_table_stream(spark, job.table(x)) for x in ("gold", "gold_changes"))
+    days = new.select("date").unionByName(changed.select("date"))
+    _each_batch(days, f"{name}_days", job.checkpoint(f"{name}_days"), days_of)
+    spark.catalog.refreshTable(job.table(name))
+
+
 def build_labels(spark: SparkSession, job: Job) -> None:
     """Labels of new and changed gold rows, and of the rows that look ahead to them.
 
-    Only new rows are taken up, and of gold only their days and those beside them are read.
+    The labels of their days, and of the days before, follow from gold as it now stands;
+    they are made again in one pass and put in the place of those days, and of gold only
+    these days and those beside them are read.
     """
     name = job.table("label")
     if not spark.catalog.tableExists(name):
         empty = spark.table(job.table("gold")).limit(0)
         create_feature_table(label_table(empty), name, KEYS)
 
-    def take(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        changed = batch.select(*KEYS).distinct()
-        before = F.col("ts") - F.make_interval(hours=F.lit(HOURS_AHEAD))
-        asked = changed.unionByName(changed.select("station_id", before.alias("ts"))).distinct()
-        asked = settle(with_partition_date(asked, "date", "ts"), "asked-labels")
-        days = _dates(asked)
-        ahead = [d + timedelta(days=1) for d in days]
-        gold = _on(current(session, job, "gold"), sorted({*days, *ahead}))
-        gold = gold.join(asked.select("station_id").distinct(), "station_id", "left_semi")
-        labels = with_partition_date(label_table(gold), "date", "ts")
-        labels = labels.join(asked.select(*KEYS), KEYS, "left_semi")
-        upsert(session, name, labels.select(*session.table(name).columns), KEYS)
-
-    for source in ("gold", "gold_changes"):
-        stream = read_table_stream(spark, job.table(source))
-        _each_batch(stream, f"label_{source}", job.checkpoint(f"label_{source}"), take)
-    spark.catalog.refreshTable(name)
+    def take(session: SparkSession, changed: list) -> None:
+        days = sorted({d - timedelta(days=n) for d in changed for n in (0, 1)})
+        gold = _on(current(session, job, "gold"), sorted({d + timedelta(days=n) for d in days for n in (0, 1)}))
+        labels = _on(with_partition_date(label_table(gold), "date", "ts"), days)
+        replace_partitions(session, name, labels, days, keys=KEYS)
+
+    _each_changed_day(spark, job, "label", take)
 
 
 def build_features(spark: SparkSession, job: Job) -> None:
-    """New and changed gold rows into the keyed feature table."""
+    """New and changed gold rows into the keyed feature table.
+
+    Its days are those of gold as it now stands, so the days of such rows are put in the
+    place of the former.
+    """
     name, gold = job.table("features"), job.table("gold")
     if not spark.catalog.tableExists(name):
         create_feature_table(spark.table(gold).drop("date").limit(0), name, KEYS)
 
-    def take(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        # A row that was changed meanwhile is taken as it now stands.
-        days = _dates(batch)
-        now = _on(current(session, job, "gold"), days)
-        rows = now.join(batch.select(*KEYS).distinct(), KEYS, "left_semi")
-        upsert(session, name, rows.select(*session.table(name).columns), KEYS)
+    def take(session: SparkSession, days: list) -> None:
+        replace_partitions(session, name, _on(current(session, job, "gold"), days), days, keys=KEYS)
 
-    for source in ("gold", "gold_changes"):
-        stream = read_table_stream(spark, job.table(source))
-        _each_batch(stream, f"features_{source}", job.checkpoint(f"features_{source}"), take)
-    spark.catalog.refreshTable(name)
+    _each_changed_day(spark, job, "features", take)
 
 
 def train_models(spark: SparkSession, job: Job) -> None:
