@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapflow.sources.tables import settle
+
 USERS_PER_STATION = 6
 
 RENAMED_FROM = "2024-01-16 00:00:00"
@@ -77,22 +79,29 @@ def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readings(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     """Readings with the description that the station had at the time."""
     facts = counts(events(spark, sf_dir) if source is None else source)
-    later = F.col("renamed") & (F.col("ts") >= F.lit(RENAMED_FROM).cast("timestamp"))
-    name = F.when(later, F.concat("first_name", F.lit(" B"))).otherwise(F.col("first_name"))
     return facts.join(descriptions(spark, sf_dir), "station_id").select(
-        "ts", "station_id", "bikes", "maintenance", name.alias("station_name"), "lat", "lng"
+        "ts", "station_id", "bikes", "maintenance", _name_at("ts").alias("station_name"), "lat", "lng"
     )
 
 
+def _name_at(ts: str) -> Column:
+    later = F.col("renamed") & (F.col(ts) >= F.lit(RENAMED_FROM).cast("timestamp"))
+    return F.when(later, F.concat("first_name", F.lit(" B"))).otherwise(F.col("first_name"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings packed as snapshot documents: one per minute, its places the stations read
-    in that time and a bike left in the street."""
-    minute = F.date_trunc("minute", "ts")
-    real = (
-        readings(spark, sf_dir)
-        .groupBy(minute.alias("minute"), "station_id", "station_name", "lat", "lng")
+    in that time and a bike left in the street.
+
+    Stations are renamed at the turn of a minute, so that readings are put together before
+    they are joined with descriptions, of which equal ones count once."""
+    read = (
+        counts(events(spark, sf_dir))
+        .groupBy(F.date_trunc("minute", "ts").alias("minute"), "station_id")
         .agg(F.max("bikes").alias("bikes"), F.bool_or("maintenance").alias("maintenance"))
     )
+    real = read.join(descriptions(spark, sf_dir).distinct(), "station_id")
+    real = real.withColumn("station_name", _name_at("minute"))
     place = F.struct(
         F.lit(False).alias("bike"),
         "bikes",
@@ -118,10 +127,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     city = F.struct("places")
     return packed.select(
         F.array(F.struct(F.array(city).alias("cities"))).alias("countries"),
-        F.date_format("minute", "yyyy-MM-dd'T'HH-mm-ss'Z.json'").alias("filename"),
+        F.date_format("minute", NAME_FORMAT).alias("filename"),
     )
 
 
+NAME_FORMAT = "yyyy-MM-dd'T'HH-mm-ss'Z.json'"
+
 #: The field of a document that holds its name, where a file holds many.
 NAMED = "scraped"
 
@@ -141,22 +152,24 @@ def write_documents(
     One document in nine is late: with `late` only those are written, or all the others;
     `since` and `until` are days, the latter left out.
     """
-    docs = documents(spark, sf_dir).withColumnRenamed("filename", NAMED)
-    lines = docs.select(
-        F.to_json(F.struct("countries", NAMED)).alias("value"),
-        NAMED,
-        F.substring(NAMED, 1, 10).alias("day"),
-        (F.pmod(F.xxhash64(NAMED), F.lit(9)) == 0).alias("late"),
-    )
-    if late is not None:
-        lines = lines.filter(F.col("late") if late else ~F.col("late"))
-    lines = lines.drop("late")
-    if since is not None:
-        lines = lines.filter(F.col("day") >= since)
-    if until is not None:
-        lines = lines.filter(F.col("day") < until)
+
+    def asked(named: DataFrame) -> DataFrame:
+        found = named.withColumn("day", F.substring(NAMED, 1, 10))
+        if late is not None:
+            is_late = F.pmod(F.xxhash64(NAMED), F.lit(9)) == 0
+            found = found.filter(is_late if late else ~is_late)
+        if since is not None:
+            found = found.filter(F.col("day") >= since)
+        if until is not None:
+            found = found.filter(F.col("day") < until)
+        return found
+
+    docs = asked(documents(spark, sf_dir).withColumnRenamed("filename", NAMED))
+    lines = docs.select(F.to_json(F.struct("countries", NAMED)).alias("value"), NAMED, "day")
     if not late and since is None:
-        first = lines.agg(F.min(NAMED).alias(NAMED))
+        minutes = readings(spark, sf_dir).select(F.date_trunc("minute", "ts").alias("minute")).distinct()
+        names = asked(minutes.select(F.date_format("minute", NAME_FORMAT).alias(NAMED)))
+        first = settle(names.agg(F.min(NAMED).alias(NAMED)), "first-name")
         hour = F.concat(F.substring(NAMED, 1, 13), F.lit("-00-00Z.json"))
         notes = f'{{"countries": [], "{NAMED}": "notes"}}'
         for text, day in (('{"countries": [', hour), (notes, F.substring(NAMED, 1, 10))):

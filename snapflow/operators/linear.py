@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapflow.operators.metrics import r2_of
+from snapflow.sources.tables import settle
 
 
 def moments(
@@ -211,7 +212,8 @@ def fit_and_evaluate(
     """Per key: quality of a model fitted on the training rows, measured on the
     others, and the coefficients of the model fitted on all rows.
 
-    `split` has the boolean `is_train`. The data is read once. A key without test
+    `split` has the boolean `is_train`. The data is read once, and its sums, a row per key,
+    are written before three branches read them. A key without test
     rows has null metrics; a key without training rows is measured against nothing.
     """
     width = len(xs)
@@ -230,6 +232,7 @@ def fit_and_evaluate(
         *[F.sum(c).alias(c) for c in names],
         tested_spread,
     )
+    sides = settle(sides, "moments")
     trained = with_solution(
         sides.filter(F.col("train_n") > 0).select(*_packed([key], width, "train_")), ridge
     ).select(key, F.col("coefficients").alias("train_coefficients"))

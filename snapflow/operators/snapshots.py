@@ -28,13 +28,18 @@ def flatten_places(docs: DataFrame) -> DataFrame:
     return docs.select(*carried, F.explode(real).alias("place"))
 
 
-def place_readings(places: DataFrame, since: str | None = None) -> DataFrame:
+def place_readings(
+    places: DataFrame, since: str | None = None, scraped: str | None = None
+) -> DataFrame:
     """Flattened places as readings, timed by their file's name to the minute.
 
-    Rows whose file name holds no time are left out; `untimed_rows` counts them.
+    Rows whose file name holds no time are left out; `untimed_rows` counts them. With
+    `scraped` that column has the time of the name already, which then was parsed once a
+    document and not once a place.
     """
+    time = scrape_time("filename") if scraped is None else F.col(scraped)
     readings = places.select(
-        F.date_trunc("minute", scrape_time("filename")).alias("ts"),
+        F.date_trunc("minute", time).alias("ts"),
         F.col("place.number").alias("station_id"),
         F.col("place.bikes").alias("bikes"),
         F.col("place.maintenance").alias("maintenance"),

@@ -63,6 +63,9 @@ CATALOGUE = (
 )
 CATALOGUE_SHARDS = 16
 
+#: Of a day's snapshots, in how many files a micro-batch writes them.
+DAY_SHARDS = 8
+
 #: What the tables of the chain are keyed by.
 KEYS = ["station_id", "ts"]
 
@@ -110,21 +113,25 @@ def ingest_documents(spark: SparkSession, job: Job, path: str) -> None:
 
 
 def bronze(spark: SparkSession, job: Job, stream: bool = True) -> DataFrame:
-    """The bronze table's file names, dates and the fields that readings need.
+    """The bronze table's file names and their times, dates and the fields that readings need.
 
     Its files are read with the narrow schema, so that the scan leaves out the rest.
     """
     place = table_location(spark, job.table("jsons_bronze"))
     reader = spark.readStream if stream else spark.read
     kind = f"{READING_DOCUMENT}, {CORRUPT} string, filename string, date date"
-    return reader.schema(kind).parquet(place)
+    return reader.schema(kind).parquet(place).withColumn("scraped", scrape_time("filename"))
+
+
+def _readings(docs: DataFrame, job: Job) -> DataFrame:
+    return place_readings(flatten_places(docs), job.since, "scraped")
 
 
 def note_bad_documents(spark: SparkSession, job: Job) -> None:
     """New documents that are malformed, or whose file name holds no time."""
     faults = F.array(
         F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")),
-        F.when(scrape_time("filename").isNull(), F.lit("no time")),
+        F.when(F.col("scraped").isNull(), F.lit("no time")),
     )
     bad = bronze(spark, job).select("filename", F.explode(F.array_compact(faults)).alias("fault"))
     append_stream(bad, job.table("bad_documents"), job.checkpoint("bad_documents"), "bad_stream")
@@ -156,7 +163,7 @@ def backfill(spark: SparkSession, job: Job) -> None:
     if spark.catalog.tableExists(job.table("snapshots_silver")):
         raise ValueError("the streams have begun")
     docs = bronze(spark, job, stream=False)
-    readings = place_readings(flatten_places(docs), job.since)
+    readings = _readings(docs, job)
     newest = readings.agg(F.max(slot_start("ts"))).first()[0]
     if newest is None:
         return
@@ -219,18 +226,18 @@ def take_in_late(spark: SparkSession, job: Job) -> None:
 
     def take(batch: DataFrame, version: int) -> None:
         session = batch.sparkSession
-        fresh = dedup_snapshots(place_readings(flatten_places(batch), job.since))
-        fresh = settle(with_partition_date(fresh, "date", "ts"), "new-slots")
+        fresh = with_partition_date(dedup_snapshots(_readings(batch, job)), "date", "ts")
+        met_days = _dates(with_partition_date(batch.drop("date"), "date", slot_start("scraped")))
         # Slots after the newest that was passed on still wait for the watermark.
         known = current(session, job, "snapshots_silver")
         newest = known.agg(F.max("ts")).first()[0]
         passed = fresh.filter(F.col("ts") <= F.lit(newest))
-        suspects = settle(_unlike(passed, _on(known, _dates(passed)).select(*passed.columns)), "suspects")
+        suspects = settle(_unlike(passed, _on(known, met_days).select(*passed.columns)), "suspects")
         days = _dates(suspects)
         if not days:
             return
         docs = _on(bronze(session, job, stream=False), days)
-        whole = with_partition_date(dedup_snapshots(place_readings(flatten_places(docs), job.since)), "date", "ts")
+        whole = with_partition_date(dedup_snapshots(_readings(docs, job)), "date", "ts")
         right = whole.join(suspects.select(*KEYS), KEYS, "left_semi").select(*passed.columns)
         late = settle(_unlike(right, _on(known, days).select(*right.columns)), "late")
         append_rows(late.withColumn("version", F.lit(version)), job.table("snapshots_silver_changes"))
@@ -276,11 +283,14 @@ def _each_batch(source: DataFrame, name: str, checkpoint: str, take) -> None:
 def refine_snapshots(spark: SparkSession, job: Job) -> None:
     """New documents into snapshots, partitioned by date."""
     docs = bronze(spark, job)
-    readings = place_readings(flatten_places(docs), job.since)
+    readings = _readings(docs, job)
     moment = handover(spark, job)
     if moment is not None:
         readings = readings.filter(F.col("ts") >= F.lit(moment))
     dated = with_partition_date(dedup_snapshots(readings, job.delay), "date", "ts")
+    # Else each part of the state writes a file for each day, which all that follows lists.
+    shard = F.pmod(F.xxhash64("station_id"), F.lit(DAY_SHARDS))
+    dated = dated.repartition("date", shard)
     name = job.table("snapshots_silver")
     append_stream(dated, name, job.checkpoint("snapshots_silver"), "snapshot_stream", "date")
     set_quality(spark, name, "silver", "One row per station and ten-minute slot")

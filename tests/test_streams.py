@@ -210,6 +210,32 @@ def test_backfill_and_streams_give_the_batch_result(spark, tmp_path, folder):
         backfill(spark, job)
 
 
+def test_chain_holds_no_state_of_gold_and_makes_days_once(spark, tmp_path, folder):
+    """Gold keeps no state; few files a day of snapshots; a run's new and changed gold rows
+    are one micro-batch of labels; and gold that is there is not appended again."""
+    job = Job(schema="days_db", checkpoints=str(tmp_path / "ck"))
+    path = write_documents(folder, dict(scrape(n, 40, minute=5) for n in range(12)))
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        run_all(spark, job, path)
+        late = (scrape(3, 40, minute=2)[0], scrape(5, 40)[1])
+        write_documents(folder, dict([*(scrape(n, 40) for n in range(12, 18)), late]))
+        run_all(spark, job, path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    assert not (tmp_path / "ck" / "gold" / "state").exists()
+    files = {f.rsplit("/", 1)[1] for f in spark.table(job.table("snapshots_silver")).inputFiles()}
+    assert len(files) <= 2 * 8
+    assert spark.table(job.table("gold_changes")).count() > 0
+    taken = [f for f in (tmp_path / "ck" / "label_days" / "commits").iterdir() if f.name.isdigit()]
+    assert len(taken) == 2
+    gold = settle(spark.table(job.table("gold")))
+    again = Job(schema="days_db", checkpoints=str(tmp_path / "again"))
+    build_gold(spark, again)
+    assert rows(spark.table(job.table("gold"))) == rows(gold)
+
+
 def test_labels_on_a_stream(spark, tmp_path, folder):
     """Batch by batch, with a gap, and rows that are held no longer than they must."""
     schema = "station_id long, ts timestamp, bikes long"

@@ -10,6 +10,7 @@ from snapflow.sources.tables import (
     ensure_schema,
     merge_rows,
     overwrite_table,
+    replace_partitions,
     reset_table,
     set_quality,
     settle,
@@ -100,6 +101,22 @@ def test_a_failed_upsert_can_be_repeated(spark, tmp_path):
     assert content(spark.table(table)) == wanted
 
 
+def test_replaced_partitions_hold_the_given_rows_only(spark, tmp_path):
+    ensure_schema(spark, "features_db")
+    table = "features_db.replaced"
+    base = rows(spark, range(72), 1)
+    create_feature_table(base, table, KEYS, path=str(tmp_path / "replaced"))
+    days = [(START + timedelta(days=n)).date() for n in (1, 2, 4)]
+    new = rows(spark, [30, 100], 5)
+    for _ in range(2):
+        replace_partitions(spark, table, with_partition_date(new, "date", "ts"), days, keys=KEYS)
+        assert content(spark.table(table)) == content(rows(spark, range(24), 1).union(new))
+    twice = with_partition_date(rows(spark, (30, 30), 3), "date", "ts")
+    with pytest.raises(ValueError):
+        replace_partitions(spark, table, twice, days[:1], keys=KEYS)
+    assert content(spark.table(table)) == content(rows(spark, range(24), 1).union(new))
+
+
 def test_upsert_reads_touched_partitions_only(spark, tmp_path):
     ensure_schema(spark, "features_db")
     table = "features_db.pruned"
