@@ -127,7 +127,8 @@ def fit_station_trees(
     if not base.filter(F.col("row_count") > local_rows).isEmpty():
         found = found.unionByName(_grown_by_sums(spark, large, parameters))
     cut = F.get(F.get("cuts", F.col("feature")), F.col("bin"))
-    nodes = found.join(base.drop("row_count"), ["fit", "key"]).select(
+    # A station's cuts take little room in a file and much in memory: never a broadcast.
+    nodes = found.join(base.drop("row_count").hint("merge"), ["fit", "key"]).select(
         *["fit", F.col("key").alias(key), "tree", "node", "feature", cut.alias("cut"), "gain"],
         *["n", "left_n", "left_step", "right_step"],
     )
@@ -176,7 +177,8 @@ def _binned(given: DataFrame, base: DataFrame) -> DataFrame:
     """Rows with their bins (x) and what is left of y when the mean is taken off."""
     bins = F.expr("transform(cuts, (c, i) -> cast(size(filter(c, e -> e < v[i])) as smallint))")
     rest = (F.col("y") - F.col("start")).alias("rest")
-    return given.join(base, ["fit", "key"]).select("fit", "key", "row_count", bins.alias("x"), rest)
+    joined = given.join(base.hint("merge"), ["fit", "key"])
+    return joined.select("fit", "key", "row_count", bins.alias("x"), rest)
 
 
 # Stations of bounded size
@@ -456,52 +458,70 @@ def predict_station_trees(rows: DataFrame, model: StationTrees) -> DataFrame:
 
     Rows without the key or a feature, or whose station was not learned, are left out. A
     station's rows are spread over as many seats as their number needs, to each of which
-    its nodes are sent; there all trees are applied to many rows at a time.
+    its mean and nodes are sent; there all trees are applied to many rows at a time. All
+    meet in one shuffle. Only stations of more than one seat, a line each, are joined, as a
+    table of all fits and stations would be too much for one place, and so for a broadcast.
     """
     asked = rows.select(
         F.col("fit").cast("int").alias("fit"),
         F.col(model.key).alias("key"),
         _values(model.xs).alias("v"),
         F.struct(*rows.columns).alias("row"),
-    ).filter(_whole("v"))
-    counts = asked.groupBy("fit", "key").agg(F.count(F.lit(1)).alias("asked"))
-    seats = model.base.withColumnRenamed(model.key, "key").join(counts, ["fit", "key"]).select(
-        "fit", "key", "start", F.ceil(F.col("asked") / SEAT_ROWS).alias("seats")
-    )
-    seats = settle(seats, "seats")
-    seated = asked.join(seats, ["fit", "key"]).select(
-        "fit", "key", F.pmod(F.xxhash64("v"), F.col("seats")).alias("seat"), F.lit(1).alias("side"),
-        F.lit(None).cast("int").alias("tree"), F.lit(None).cast("bigint").alias("node"), "v", "start", "row",
-    )
-    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("seats") - 1)).alias("seat")
+    ).filter(_whole("v") & F.col("fit").isNotNull() & F.col("key").isNotNull())
+    counts = settle(asked.groupBy("fit", "key").agg(F.count(F.lit(1)).alias("asked")), "asked")
+    seats = F.ceil(F.col("asked") / SEAT_ROWS).alias("seats")
+    wide = settle(counts.filter(F.col("asked") > SEAT_ROWS).select("fit", "key", seats), "seats")
+    fits = F.broadcast(counts.select("fit").distinct())
+
+    def sent(table: DataFrame, side: int, *columns: Column) -> DataFrame:
+        """Rows of the model, at each seat of their fit and station."""
+        named = table.withColumnRenamed(model.key, "key").join(fits, "fit", "left_semi")
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("seats", F.lit(1)) - 1))
+        return named.join(wide, ["fit", "key"], "left").select(
+            "fit", "key", every.alias("seat"), F.lit(side).alias("side"), *columns, no_row
+        )
+
+    none = {c: F.lit(None).cast(kind).alias(c) for c, kind in (("tree", "int"), ("node", "bigint"), ("start", "bigint"))}
+    no_row = F.lit(None).cast(asked.schema["row"].dataType).alias("row")
+    no_v = F.lit(None).cast("array<double>").alias("v")
     facts = F.array(*[F.col(c).cast("double") for c in ("feature", "cut", "left_step", "right_step")])
-    sent = model.nodes.withColumnRenamed(model.key, "key").join(seats, ["fit", "key"]).select(
-        "fit", "key", each, F.lit(0).alias("side"), "tree", "node", facts.alias("v"), "start",
-        F.lit(None).cast(seated.schema["row"].dataType).alias("row"),
-    )
-    together = seated.unionByName(sent).repartition("fit", "key", "seat")
+    means = sent(model.base, 0, none["tree"], none["node"], no_v, F.col("start"))
+    nodes = sent(model.nodes, 1, F.col("tree"), F.col("node"), facts.alias("v"), none["start"])
+    seat = F.pmod(F.xxhash64("v"), F.coalesce("seats", F.lit(1))).alias("seat")
+    seated = asked.join(wide, ["fit", "key"], "left").select(
+        "fit", "key", seat, F.lit(2).alias("side"), none["tree"], none["node"], "v", none["start"], "row"
+    )
+    together = seated.unionByName(nodes).unionByName(means).repartition("fit", "key", "seat")
     in_order = together.sortWithinPartitions("fit", "key", "seat", "side", "tree", "node")
 
     def run(batches):
-        station, trees, seen = None, [], None
+        station, mean, trees, seen = None, None, [], None
 
         for batch in filter(len, batches):
             sides = batch.column("side").to_numpy()
             places = list(zip(*(batch.column(c).to_pylist() for c in ("fit", "key", "seat"))))
             new = [i for i in range(1, len(places)) if places[i] != places[i - 1] or sides[i] != sides[i - 1]]
-            for start, end in zip([0, *new], [*new, len(places)]):
-                part = batch.slice(start, end - start)
-                if places[start] != station:
-                    station, trees, seen = places[start], [], None
-                v = part.column("v").flatten().to_numpy().reshape(len(part), -1)
-                if sides[start] == 0:
-                    trees.append((part.column("tree").to_numpy(), part.column("node").to_numpy(), v))
+            tree, node, start = (batch.column(c).fill_null(0).to_numpy() for c in ("tree", "node", "start"))
+            values, ends = batch.column("v").values.to_numpy(), batch.column("v").offsets.to_numpy()
+            told, learned = np.zeros(len(places)), np.zeros(len(places), bool)
+            for i, j in zip([0, *new], [*new, len(places)]):
+                if places[i] != station:
+                    station, mean, trees, seen = places[i], None, [], None
+                if sides[i] == 0:
+                    mean = start[i]
+                if sides[i] == 0 or mean is None:
+                    continue
+                v = values[ends[i] : ends[j]].reshape(j - i, -1)
+                if sides[i] == 1:
+                    trees.append((tree[i:j], node[i:j], v))
                     continue
                 if seen is None:
                     seen = _joined(trees)
-                p = part.column("start").to_numpy() + applied(v, seen)
+                told[i:j], learned[i:j] = mean + applied(v, seen), True
+            if learned.any():
+                rows_told = batch.column("row").filter(pa.array(learned))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(p * UNIT, pa.float64())], names=["row", "prediction"]
+                    [rows_told, pa.array(told[learned] * UNIT, pa.float64())], names=["row", "prediction"]
                 )
 
     out = in_order.mapInArrow(run, f"row {seated.schema['row'].dataType.simpleString()}, prediction double")

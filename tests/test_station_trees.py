@@ -221,3 +221,52 @@ def test_stations_grow_together_as_each_alone():
         assert mine[0] == mine[1] and len(mine[0]) > 4
     # A level of all stations is one step: no more steps than the deepest station has.
     assert few < len(calls) - few
+
+
+def broadcast_rows(node):
+    """Rows that a plan which has been run has broadcast, in each of its broadcasts."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return broadcast_rows(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return broadcast_rows(node.plan())
+    below = node.children()
+    found = [n for i in range(below.size()) for n in broadcast_rows(below.apply(i))]
+    if kind == "BroadcastExchangeExec":
+        found.append(node.metrics().apply("numOutputRows").value())
+    return found
+
+
+def test_tables_of_all_fits_and_stations_are_not_broadcast(spark, monkeypatch):
+    from snapflow.operators import station_trees
+
+    rows = made(8, stations=12, n=20, fits=(0, 1))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    plans, settle = {}, station_trees.settle
+
+    def seen(df, purpose="step"):
+        plans[purpose] = df._jdf.queryExecution().toString()
+        return settle(df, purpose)
+
+    monkeypatch.setattr(station_trees, "settle", seen)
+    model = fit_station_trees(frame, ["a", "b"], [Trees(0, 3, 3, 3), Trees(1, 2, 2, 5)])
+    assert not any("Broadcast" in plans[purpose] for purpose in ("tree-bins", "nodes"))
+    for size in (1 << 18, 100):
+        monkeypatch.setattr(station_trees, "SEAT_ROWS", size)
+        told = predict_station_trees(frame, model)
+        assert len(told.collect()) == len(rows)
+        # Two fits, and of the stations those that take more than one seat.
+        sent = broadcast_rows(told._jdf.queryExecution().executedPlan())
+        wide = sum(20 + 7 * s > size for s in range(12)) * 2
+        assert max(sent, default=0) <= max(2, wide) < 24
+
+
+def test_models_that_are_not_asked_and_stations_not_learned(spark):
+    frame = spark.createDataFrame(made(9, stations=3, fits=(0, 1)), SCHEMA)
+    model = fit_station_trees(frame.filter("station_id > 0"), ["a", "b"], [Trees(0, 3, 3, 3), Trees(1, 2, 2, 5)])
+    asked = frame.filter("fit = 1 and station_id < 2")
+    odd = spark.createDataFrame([(1, None, START, 1, 0.5, 1.0), (None, 1, START, 1, 0.5, 1.0)], SCHEMA)
+    told = predict_station_trees(asked.unionByName(odd), model).collect()
+    assert len(told) == 67 and {(r.fit, r.station_id) for r in told} == {(1, 1)}
+    whole = predict_station_trees(frame, model).filter("fit = 1 and station_id = 1").collect()
+    assert sorted(map(tuple, told)) == sorted(map(tuple, whole))
