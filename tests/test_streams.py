@@ -256,6 +256,31 @@ def test_labels_on_a_stream(spark, tmp_path, folder):
     assert sum(op["numRowsRemoved"] for op in joins) > 0
 
 
+def test_labels_on_a_stream_meet_by_blocks_of_time(spark, tmp_path, folder, capsys):
+    """Readings at odd times, over the edges of blocks, and one that comes twice; a row is
+    compared with those of a block only."""
+    schema = "station_id long, ts timestamp, bikes long"
+    times = [(s, START + timedelta(milliseconds=1000 * ((n * 397 * s) % 40000) + n)) for s in (1, 2) for n in range(300)]
+    read = [(s, t, n % 11) for n, (s, t) in enumerate(times)]
+    read += [(1, START, 5), (1, START, 7), (1, START + timedelta(hours=1, seconds=100), 3)]
+    read.append((1, START + timedelta(hours=1, seconds=-100), 8))
+    path = str(folder / "read")
+    spark.createDataFrame(read, schema).coalesce(1).write.parquet(path)
+    stream = label_stream(spark.readStream.schema(schema).parquet(path), hours=1, tol_s=100, block_s=1800)
+    run_once(stream, str(tmp_path / "out"), str(tmp_path / "ck"))
+    found = spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).collect()
+    end = max(r[1] for r in read)
+    known = {r[:2] for r in read if r[1] + timedelta(seconds=3700) < end}
+    assert {(r.station_id, r.ts): r.label for r in found}.keys() == known and len(found) == len(known)
+    for r in found:
+        ahead = [b for s, t, b in read if s == r.station_id and abs((t - r.ts).total_seconds() - 3600) <= 100]
+        assert r.label == (pytest.approx(sum(ahead) / len(ahead)) if ahead else None)
+    assert sum(r.label is None for r in found) > 0
+    stream.explain()
+    joins = capsys.readouterr().out.split("StreamingSymmetricHashJoin ")[1:]
+    assert len(joins) == 1 and "block" in joins[0].split("]")[0]
+
+
 def test_archived_files_are_gone_and_not_read_twice(spark, tmp_path, folder):
     job = Job(schema="archive_db", checkpoints=str(tmp_path / "ck"), archive=str(tmp_path / "archive"))
     path = str(folder)
